@@ -156,24 +156,18 @@ class Contract:
         details: Mapping[str, Mapping[str, Any]] | None = None,
         **table: Any,
     ) -> Contract:
-        """Build a contract from two DDL column lists (``"a STRING, b DOUBLE"``).
+        """Build a contract from two column lists (``"a STRING, b DOUBLE"``).
 
         ``details`` adds ``format``, ``allowed_values``, ``regex``, ``cleansing`` or
         ``reject_if_null`` to named columns.
         """
         details = details or {}
         columns = []
-        for ddl, required in ((mandatory, True), (optional, False)):
-            if not ddl.strip():
-                continue
-            for f in T.StructType.fromDDL(ddl).fields:
-                col = ContractColumn(
-                    f.name,
-                    parse_type(f.dataType.typeName()),
-                    mandatory=required,
-                    reject_if_null=required,
-                )
-                columns.append(replace(col, **_tupled(details.get(f.name, {}))))
+        for listed, required in ((mandatory, True), (optional, False)):
+            for item in filter(str.strip, listed.split(",")):
+                column, kind = item.split()
+                col = ContractColumn(column, parse_type(kind), mandatory=required, reject_if_null=required)
+                columns.append(replace(col, **_tupled(details.get(column, {}))))
         unknown = set(details) - {c.name for c in columns}
         if unknown:
             raise ValueError(f"details for unknown columns: {sorted(unknown)}")

@@ -45,7 +45,7 @@ def batch_metrics() -> list[Column]:
         F.count_if(layer == SCHEMA_LAYER).alias("schema_rejected"),
         F.count_if(layer == DQ_LAYER).alias("dq_failed"),
         F.count_if(layer.isNull()).alias("valid"),
-        F.count_if(F.col("dq_status") == "WARN").alias("warned"),
+        F.count_if(layer.isNull() & (F.col("dq_status") == "WARN")).alias("warned"),
     ]
 
 

@@ -18,6 +18,9 @@ SOURCE_COLUMN = "_source_file"
 # Columns a frame may carry besides the delivered ones.
 CARRIED = (CORRUPT_COLUMN, SOURCE_COLUMN)
 
+# Working columns: a delivered text, and the same text with null tokens removed.
+_DELIVERED, _TEXT = "__delivered__", "__text__"
+
 
 @dataclass(frozen=True)
 class ColumnDiff:
@@ -60,7 +63,7 @@ def _quoted(name: str) -> str:
 
 
 def judge(df: DataFrame, contract: Contract) -> DataFrame:
-    """Typed columns plus ``rejection_reason``, still next to the delivered texts (``_in_*``).
+    """Typed columns plus ``rejection_reason``, still next to the delivered texts.
 
     Building block of :func:`enforce`; finish with :func:`finish`.
     """
@@ -74,21 +77,21 @@ def judge(df: DataFrame, contract: Contract) -> DataFrame:
     # Three stacked projections: each step reads the columns of the one before, so a conversion
     # is evaluated once although both the typed value and the reason depend on it.
     cleaned = df.select(
-        *[F.col(_quoted(c)).alias(f"_in_{c}") for c in delivered],
-        *[blank_to_null(F.col(_quoted(c))).alias(f"_text_{c}") for c in delivered],
+        *[F.col(_quoted(c)).alias(_DELIVERED + c) for c in delivered],
+        *[blank_to_null(F.col(_quoted(c))).alias(_TEXT + c) for c in delivered],
         *carried,
     )
 
     def typed(col):
         if col.name not in present:
             return F.lit(None).cast(col.type).alias(col.name)
-        return to_contract_type(F.col(_quoted(f"_text_{col.name}")), col).alias(col.name)
+        return to_contract_type(F.col(_quoted(_TEXT + col.name)), col).alias(col.name)
 
     shaped = cleaned.select(
         *[typed(c) for c in contract.columns],
-        *[F.col(_quoted(f"_text_{c}")).alias(c, metadata={"additive": True}) for c in extra],
-        *[F.col(_quoted(f"_text_{c.name}")) for c in cast_columns],
-        *[F.col(_quoted(f"_in_{c}")) for c in delivered],
+        *[F.col(_quoted(_TEXT + c)).alias(c, metadata={"additive": True}) for c in extra],
+        *[F.col(_quoted(_TEXT + c.name)) for c in cast_columns],
+        *[F.col(_quoted(_DELIVERED + c)) for c in delivered],
         *carried,
     )
 
@@ -99,13 +102,13 @@ def judge(df: DataFrame, contract: Contract) -> DataFrame:
         if c.reject_if_null:
             reasons.append(F.when(F.col(_quoted(c.name)).isNull(), F.lit(f"NULL_MANDATORY:{c.name}")))
     for c in cast_columns:
-        failed = F.col(_quoted(c.name)).isNull() & F.col(_quoted(f"_text_{c.name}")).isNotNull()
+        failed = F.col(_quoted(c.name)).isNull() & F.col(_quoted(_TEXT + c.name)).isNotNull()
         reasons.append(F.when(failed, F.lit(f"TYPE_CAST_FAIL:{c.name}")))
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     if diff.blocking_reason:
         reason = F.lit(diff.blocking_reason)
 
-    dropped = {f"_text_{c.name}" for c in cast_columns}
+    dropped = {_TEXT + c.name for c in cast_columns}
     return shaped.select(
         *[F.col(_quoted(c)) for c in shaped.columns if c not in dropped],
         reason.alias("rejection_reason"),
@@ -114,8 +117,11 @@ def judge(df: DataFrame, contract: Contract) -> DataFrame:
 
 def finish(judged: DataFrame, rejected: Column) -> DataFrame:
     """Fold the delivered texts into ``raw_record``, kept only where ``rejected`` holds."""
-    texts = [c for c in judged.columns if c.startswith("_in_")]
-    record = F.to_json(F.struct(*[F.col(_quoted(c)).alias(c.removeprefix("_in_")) for c in texts]))
+    texts = [c for c in judged.columns if c.startswith(_DELIVERED)]
+    if texts:
+        record = F.to_json(F.struct(*[F.col(_quoted(c)).alias(c.removeprefix(_DELIVERED)) for c in texts]))
+    else:
+        record = F.lit(None).cast("string")
     if CORRUPT_COLUMN in judged.columns:
         record = F.coalesce(F.col(CORRUPT_COLUMN), record)
     hidden = {*texts, CORRUPT_COLUMN}

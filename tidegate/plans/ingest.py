@@ -1,9 +1,9 @@
 """Landing to raw: annotate delivered rows, then write the valid and the refused ones.
 
 The delivered text is parsed once.  The annotated rows are kept (memory, then local disk) while
-three jobs use them: the valid write, which also yields the batch counts, the quarantine write
-and the summary.  With ``keep=False`` nothing is kept and the text is parsed once per write,
-which needs no executor disk.
+the valid and the quarantine write use them.  With ``keep=False`` nothing is kept and the text is
+parsed once per write, which needs no executor disk.  Batch counts and the summary are read from
+what was written: a column or two of Parquet, not the text again.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from datetime import date
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tidegate.contract import SOFT, Contract
@@ -41,7 +42,7 @@ from tidegate.operators.quality import (
 from tidegate.sinks.zones import Zones, write_date, write_records
 from tidegate.sources.files import file_facts, read_manifests
 from tidegate.sources.landing import read_landing
-from tidegate.sources.zones import latest_date, read_partition
+from tidegate.sources.zones import exists, latest_date, read_partition
 
 SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL", "FAILED"
 REJECT_COLUMNS = ("rejection_reason", "rejection_layer", "raw_record")
@@ -224,17 +225,24 @@ def _write(annotated: DataFrame, zones: Zones, result: RunResult, options: Optio
             result.escalated = True
             annotated = escalate_warnings(annotated)
 
-    observed = Observation()
-    valid = valid_rows(annotated.observe(observed, *batch_metrics()))
-    audited = add_audit_columns(valid, zones.dataset, run_date, run_id, options.hash_columns)
+    audited = add_audit_columns(
+        valid_rows(annotated), zones.dataset, run_date, run_id, options.hash_columns
+    )
+    refused = add_quarantine_columns(refused_rows(annotated), run_id)
     write_date(audited, zones.valid, run_date, options.partition_columns)
-    counts = observed.get
+    write_date(refused, zones.quarantine, run_date)
+
+    def written(root: str, schema: T.StructType) -> DataFrame:
+        return annotated.sparkSession.read.schema(schema).parquet(f"{root}/dt={run_date}")
+
+    stored_valid = written(zones.valid, audited.schema)
+    stored_refused = written(zones.quarantine, refused.schema)
+    outcomes = stored_valid.select(F.lit(None).cast("string").alias("rejection_layer"), "dq_status")
+    outcomes = outcomes.unionByName(stored_refused.select("rejection_layer", "dq_status"))
+    counts = outcomes.agg(*batch_metrics()).first().asDict()
     if not options.escalate:
         result.breach = over_threshold(counts)
-
-    refused = refused_rows(annotated)
-    write_date(add_quarantine_columns(refused, run_id), zones.quarantine, run_date)
-    summary = reason_counts(refused).select(
+    summary = reason_counts(stored_refused).select(
         F.lit(zones.dataset).alias("dataset"), F.lit(run_id).alias("pipeline_run_id"), "*"
     )
     write_records(summary, zones.summary, run_date)
@@ -310,14 +318,17 @@ def ingest_delivery(
     day = date.fromisoformat(run_date)
     name = f"{contract.name}_{day:%Y%m%d}.csv"
     folder = f"{landing.rstrip('/')}/{contract.name}"
-    expected = spark.createDataFrame([(contract.name, name)], "dataset_name STRING, file_name STRING")
-    manifest = name.removesuffix(".csv") + "_manifest.json"
-    verified = verify_files(
-        expected, file_facts(spark, folder, name), read_manifests(spark, folder, manifest)
-    ).first()
-    if not verified["passed"]:
-        result = RunResult(contract.name, run_date, run_id or new_run_id(), FAILED)
-        result.errors = list(verified["errors"])
+    if exists(spark, folder):
+        expected = spark.createDataFrame([(contract.name, name)], "dataset_name STRING, file_name STRING")
+        manifest = name.removesuffix(".csv") + "_manifest.json"
+        verified = verify_files(
+            expected, file_facts(spark, folder, name), read_manifests(spark, folder, manifest)
+        )
+        errors = list(verified.first()["errors"])
+    else:
+        errors = ["file_arrived: file not found"]
+    if errors:
+        result = RunResult(contract.name, run_date, run_id or new_run_id(), FAILED, errors=errors)
         write_records(audit_row(spark, result), zones.audit, run_date)
         return result
     return ingest_files(spark, f"{folder}/{name}", contract, zones, run_date, None, options, run_id)

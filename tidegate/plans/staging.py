@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidegate.contract import Contract
-from tidegate.operators.dedup import drop_repeated_rows, latest_per_key
+from tidegate.operators.dedup import latest_per_key
 from tidegate.operators.enforce import cleanse
 from tidegate.operators.reconcile import reconcile_counts
 from tidegate.operators.scd2 import merge_current, open_versions
@@ -25,15 +25,15 @@ from tidegate.sources.zones import exists, latest_date, read_partition
 
 
 def snapshot_of(raw: DataFrame, contract: Contract, keys: Sequence[str]) -> DataFrame:
-    """Raw rows of one date as a snapshot: repeated rows dropped, declared cleansing applied, one
-    row per key, contract columns only.
+    """Raw rows of one date as a snapshot: one row per key, declared cleansing applied, contract
+    columns only.
 
-    When a key comes twice with different content, the row loaded last wins, then the larger
-    hash, so that the choice is the same on every run.
+    Repeated deliveries of a row share its key, so choosing per key removes them as well and a
+    separate pass by row hash would only add a shuffle.  When a key comes twice with different
+    content, the row loaded last wins, then the larger hash: the same choice on every run.
     """
-    unique = drop_repeated_rows(raw)
     order = [F.desc("_raw_load_ts"), F.desc("_row_md5")]
-    return cleanse(latest_per_key(unique, keys, order).select(*contract.names), contract)
+    return cleanse(latest_per_key(raw, keys, order).select(*contract.names), contract)
 
 
 def run_staging(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +20,30 @@ MANIFEST_SCHEMA = (
 )
 
 
-def _stream_md5(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """md5 of files too large for one value, read in chunks; one file at a time per task."""
-    from pyarrow import fs
+def _md5_streamer(chunk: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """md5 of files too large for one value, read in chunks; one file at a time per task.
 
-    for batch in batches:
-        sums = []
-        for path in batch["file_path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.md5()
-            with filesystem.open_input_stream(inner) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            sums.append(digest.hexdigest())
-        yield batch[["file_path"]].assign(checksum=sums)
+    The function is made here so that it travels to the workers by value and they need nothing
+    but the standard library, pandas and pyarrow.
+    """
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            sums = []
+            for path in batch["file_path"]:
+                filesystem, inner = fs.FileSystem.from_uri(path)
+                digest = hashlib.md5()
+                with filesystem.open_input_stream(inner) as source:
+                    while piece := source.read(chunk):
+                        digest.update(piece)
+                sums.append(digest.hexdigest())
+            yield batch[["file_path"]].assign(checksum=sums)
+
+    return stream
 
 
 def file_facts(
@@ -59,7 +68,14 @@ def file_facts(
         F.lit(None).cast("string").alias("checksum"),
         F.lit(0).cast("bigint").alias("lines"),
     )
-    listed = files().select(file_path, F.col("length").alias("size"), no_sum, no_lines)
+    # Scans skip files of zero bytes, so names come from the file listing Spark has made anyway.
+    named = spark.createDataFrame([(p,) for p in files().inputFiles()], "file_path string").select(
+        F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path"),
+        F.lit(0).cast("bigint").alias("size"),
+        no_sum,
+        no_lines,
+    )
+    listed = named.unionByName(files().select(file_path, F.col("length").alias("size"), no_sum, no_lines))
     small = (
         files()
         .where(F.col("length") <= in_memory_bytes)
@@ -70,7 +86,7 @@ def file_facts(
         .where(F.col("length") > in_memory_bytes)
         .select(file_path)
         .repartition("file_path")
-        .mapInPandas(_stream_md5, "file_path string, checksum string")
+        .mapInPandas(_md5_streamer(_CHUNK), "file_path string, checksum string")
         .select("file_path", no_size, "checksum", no_lines)
     )
     lines = (
@@ -79,6 +95,7 @@ def file_facts(
         .text(path)
         .select(file_path, no_size, no_sum, F.lit(1).cast("bigint").alias("lines"))
     )
+    last = F.element_at(F.split("file_path", "/"), -1)
     return (
         listed.unionByName(small)
         .unionByName(large)
@@ -86,12 +103,12 @@ def file_facts(
         .groupBy("file_path")
         .agg(
             F.max("size").alias("file_size_bytes"),
-            F.max("checksum").alias("checksum"),
+            F.coalesce(F.max("checksum"), F.md5(F.lit(""))).alias("checksum"),
             (F.sum("lines") - 1).alias("data_rows"),
         )
         .select(
             "file_path",
-            F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+            F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))).alias("file_name"),
             "file_size_bytes",
             "checksum",
             "data_rows",

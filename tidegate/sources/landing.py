@@ -26,19 +26,22 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-def scan_csv(spark: SparkSession, paths: str | Sequence[str], header: Iterable[str]) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, paths: str | Sequence[str], header: Iterable[str], check_headers: bool = True
+) -> DataFrame:
     """Files that share ``header``, every column as text, plus the corrupt-record column and the
     file each row came from.
 
     Short, long and unbalanced rows set the corrupt-record column.  Column pruning is off for
-    this scan because Spark only notices such rows when it parses every column.  A file whose
-    header differs fails the scan instead of shifting its values into other columns.
+    this scan because Spark only notices such rows when it parses every column.  With
+    ``check_headers`` a file whose header differs fails the scan instead of shifting its values
+    into other columns.
     """
     fields = [T.StructField(n, T.StringType()) for n in [*header, CORRUPT_COLUMN]]
     return (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", not check_headers)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("columnPruning", False)
@@ -64,4 +67,4 @@ def read_landing(
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, header in zip(files, headers, strict=True):
         groups.setdefault(header, []).append(file)
-    return [scan_csv(spark, members, header) for header, members in groups.items()]
+    return [scan_csv(spark, members, header, False) for header, members in groups.items()]

@@ -76,6 +76,11 @@ def verify_files(
     ).withColumn("passed", F.size("errors") == 0)
 
 
+def passing_files(verified: DataFrame) -> DataFrame:
+    """Paths that may be ingested."""
+    return verified.where("passed").select("dataset_name", "file_path")
+
+
 def failures_per_file_check(verified: DataFrame) -> DataFrame:
     """Files per check and outcome; outcome NULL means the check could not run."""
     return (

@@ -96,12 +96,14 @@ def flag_duplicates(
     keys: Sequence[str],
     flag: str = "_is_repeated",
     among: DataFrame | None = None,
+    spread: str | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every row plus a boolean: does its key occur more than once (in ``among``, if given)?
 
     Keys are counted with partial aggregation and joined back, so no task ever holds all rows of
-    one key; the counts themselves name the keys whose rows must be spread.
+    one key; the counts themselves name the keys whose rows must be spread.  See
+    :func:`tidegate.operators.skew.salted_join` for ``spread``.
     """
     counted = repeated_keys(df if among is None else among, keys)
     hot = (
@@ -111,7 +113,7 @@ def flag_duplicates(
         .select(F.xxhash64(*keys).alias("_key_hash"), F.lit(True).alias("_hot"))
     )
     repeated = counted.select(*keys, F.lit(True).alias(flag))
-    joined = salted_join(df, repeated, keys, "left", hot=hot)
+    joined = salted_join(df, repeated, keys, "left", hot=hot, spread=spread)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -132,6 +134,7 @@ def flag_orphans(
     foreign_key: str,
     parent_key: str,
     flag: str = "_is_orphan",
+    spread: str | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every child row plus a boolean: is its non-NULL foreign key without a parent?"""
@@ -141,7 +144,7 @@ def flag_orphans(
         .distinct()
         .withColumn(flag, F.lit(False))
     )
-    joined = salted_join(child, parents, [foreign_key], "left", min_rows=min_rows)
+    joined = salted_join(child, parents, [foreign_key], "left", spread=spread, min_rows=min_rows)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.col(foreign_key).isNotNull()))
 
 

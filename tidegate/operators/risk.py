@@ -54,9 +54,10 @@ def loan_features(
 ) -> DataFrame:
     """Labelled feature row per loan that has repayments.
 
-    Borrowers are attached to loans first: that join starts from the loan scan, so the rows of a
-    borrower with very many loans can be spread, and it moves the few loan columns only.  The
-    aggregate and the join that follows share one partitioning by ``loan_id``.  Unknown borrowers
+    Borrowers are attached to loans first: that join starts from the loan scan (pass ``loans``
+    as scanned, narrow steps only), so the rows of a borrower with very many loans can be spread,
+    and it moves the few loan columns only.  The aggregate and the join that follows share one
+    partitioning by ``loan_id``.  Unknown borrowers
     leave NULLs; a missing borrower id matches a missing borrower id.
     """
     history = repayment_features(repayments)

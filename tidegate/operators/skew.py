@@ -37,16 +37,18 @@ def salted_join(
     *,
     null_safe: bool = False,
     hot: DataFrame | None = None,
+    spread: str | None = None,
     salts: int = SALTS,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on equally named ``keys``; rows of hot left keys are spread over ``salts`` tasks.
 
-    ``left`` is the side that may be skewed and must come straight from a scan (narrow steps
-    only), so that the spreading number of a row is the same when a lost task is run again.
-    ``right`` rows of hot keys are repeated once per salt.  ``how`` is ``inner``, ``left``,
-    ``left_semi`` or ``left_anti``.  The result has the left columns, then the right ones
-    without the keys.
+    ``left`` is the side that may be skewed.  Its rows are spread by the numeric column
+    ``spread``; without one they are numbered here, which needs a ``left`` that comes straight
+    from a scan (narrow steps only), so that a row keeps its number when a lost task is run
+    again.  ``right`` rows of hot keys are repeated once per salt.  ``how`` is ``inner``,
+    ``left``, ``left_semi`` or ``left_anti``.  The result has the left columns, then the right
+    ones without the keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do {how!r}")
@@ -56,11 +58,12 @@ def salted_join(
     # Bounded by construction: hot has at most HOT_KEYS rows of two fixed-size columns.
     hot = F.broadcast(hot)
 
-    spread = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0)
+    number = F.monotonically_increasing_id() if spread is None else F.col(spread)
+    salt = F.when(F.col("_hot"), F.pmod(number, F.lit(salts))).otherwise(0)
     l = (
         left.withColumn("_key_hash", F.xxhash64(*keys))
         .join(hot, "_key_hash", "left")
-        .withColumn("_salt", spread.cast("int"))
+        .withColumn("_salt", salt.cast("int"))
         .drop("_key_hash", "_hot")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

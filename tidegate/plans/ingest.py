@@ -45,6 +45,7 @@ from tidegate.sources.landing import read_landing
 from tidegate.sources.zones import exists, latest_date, read_partition
 
 SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL", "FAILED"
+_SPREAD = "__spread__"
 REJECT_COLUMNS = ("rejection_reason", "rejection_layer", "raw_record")
 
 
@@ -113,13 +114,19 @@ def annotate(
     judged = judge(delivered, contract)
     acceptable = F.col("rejection_reason").isNull()
     helpers = []
+    if options.unique_keys or options.references:
+        # Numbered once, at the scan: the joins below spread the rows of hot keys by it.
+        judged = judged.withColumn(_SPREAD, F.monotonically_increasing_id())
+        helpers.append(_SPREAD)
     if options.unique_keys:
-        judged = flag_duplicates(judged, options.unique_keys, "_is_repeated", among=judged.where(acceptable))
+        judged = flag_duplicates(
+            judged, options.unique_keys, "_is_repeated", among=judged.where(acceptable), spread=_SPREAD
+        )
         checks.append(unique_check(options.unique_keys, "_is_repeated", options.unique_severity))
         helpers.append("_is_repeated")
     for n, ref in enumerate(options.references):
         flag = f"_is_orphan_{n}"
-        judged = flag_orphans(judged, ref.parent, ref.column, ref.parent_column, flag)
+        judged = flag_orphans(judged, ref.parent, ref.column, ref.parent_column, flag, _SPREAD)
         checks.append(exists_check(ref.column, flag, ref.severity))
         helpers.append(flag)
 
@@ -324,11 +331,12 @@ def ingest_delivery(
         verified = verify_files(
             expected, file_facts(spark, folder, name), read_manifests(spark, folder, manifest)
         )
-        errors = list(verified.first()["errors"])
+        row = verified.first()
+        errors, paths = list(row["errors"]), [f"{folder}/{name}"] if row["passed"] else []
     else:
-        errors = ["file_arrived: file not found"]
-    if errors:
+        errors, paths = ["file_arrived: file not found"], []
+    if not paths:
         result = RunResult(contract.name, run_date, run_id or new_run_id(), FAILED, errors=errors)
         write_records(audit_row(spark, result), zones.audit, run_date)
         return result
-    return ingest_files(spark, f"{folder}/{name}", contract, zones, run_date, None, options, run_id)
+    return ingest_files(spark, paths, contract, zones, run_date, None, options, run_id)

@@ -131,3 +131,12 @@ def test_cleansing(spark):
 def test_one_projection_chain_without_shuffle(spark):
     plan = enforce(frame(spark, {"id": "1"}), CONTRACT)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("Project") <= 4
+
+
+def test_splitting_does_not_repeat_the_work(spark, tmp_path):
+    """The filter on the outcome reads a finished column instead of computing it again."""
+    frame(spark, {"id": "1", "name": "a"}).write.parquet(str(tmp_path / "t"))
+    valid = schema_valid(enforce(spark.read.parquet(str(tmp_path / "t")), CONTRACT))
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-*()0123456789").startswith("Filter")]
+    assert filters and all("rejection_reason" in f and "cast(" not in f.lower() for f in filters)

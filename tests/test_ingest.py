@@ -138,6 +138,11 @@ def test_missing_mandatory_column_fails_the_run_and_keeps_the_rows(spark, tmp_pa
     assert reasons(spark, zones) == ["MISSING_MANDATORY_COLUMNS:department"] * 2
 
 
+def test_reserved_names_refuse_the_batch(spark, tmp_path):
+    zones, result = run(spark, tmp_path, "1,HR,PASS,x", header="id,department,dq_status,_row_md5")
+    assert result.status == FAILED and reasons(spark, zones) == ["AMBIGUOUS_COLUMNS:_row_md5,dq_status"]
+
+
 def test_repeated_header_names(spark, tmp_path):
     zones, result = run(spark, tmp_path, "1,HR,a,b", header="id,department,x,x")
     assert result.valid == 1

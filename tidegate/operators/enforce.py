@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.contract import CORRUPT_COLUMN, Contract
 from tidegate.functions.casts import is_text, to_contract_type
 from tidegate.functions.text import blank_to_null, cleanser
+from tidegate.operators.settle import settle
 
 SCHEMA_LAYER = "SCHEMA_ENFORCEMENT"
 SOURCE_COLUMN = "_source_file"
@@ -18,6 +19,12 @@ SOURCE_COLUMN = "_source_file"
 # Columns a frame may carry besides the delivered ones.
 CARRIED = (CORRUPT_COLUMN, SOURCE_COLUMN)
 
+# Names the zones need for themselves; a delivered column must not take them.
+RESERVED = frozenset(
+    "rejection_reason rejection_layer raw_record source_file quarantine_ts pipeline_run_id dq_status "
+    "dq_failed_checks validation_flag _raw_load_ts _pipeline_run_id _source_dataset _dt _row_md5 dt".split()
+)
+
 # Working columns: a delivered text, and the same text with null tokens removed.
 _DELIVERED, _TEXT = "__delivered__", "__text__"
 
@@ -41,7 +48,8 @@ class ColumnDiff:
 
 def diff_columns(incoming: Iterable[str], contract: Contract) -> ColumnDiff:
     """Compare delivered column names with the contract.  Names match exactly; a name that
-    differs from a contract column only by case would be ambiguous downstream."""
+    differs from a contract column only by case, or that a zone uses itself, would be ambiguous
+    downstream."""
     given = {c for c in incoming if c not in CARRIED}
     declared = set(contract.names)
     folded = {n.lower() for n in declared}
@@ -50,7 +58,7 @@ def diff_columns(incoming: Iterable[str], contract: Contract) -> ColumnDiff:
         additive=sorted(additive),
         missing_mandatory=sorted(c.name for c in contract.mandatory if c.name not in given),
         missing_optional=sorted(c.name for c in contract.optional if c.name not in given),
-        ambiguous=sorted(c for c in additive if c.lower() in folded),
+        ambiguous=sorted(c for c in additive if c.lower() in folded | RESERVED),
     )
 
 
@@ -140,7 +148,8 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     both in contract order.  A batch without a mandatory column is refused whole: all its rows
     come back with the same reason.
     """
-    return finish(judge(df, contract), F.col("rejection_reason").isNotNull())
+    judged = settle(judge(df, contract), {"rejection_reason": F.col("rejection_reason")})
+    return finish(judged, F.col("rejection_reason").isNotNull())
 
 
 def schema_valid(enforced: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.contract import HARD, SOFT
 from tidegate.functions.checks import Check
+from tidegate.operators.settle import settle
 from tidegate.operators.skew import HOT_KEYS, HOT_ROWS, salted_join
 
 DQ_LAYER = "DQ_CHECK"
@@ -32,12 +33,12 @@ def apply_checks(df: DataFrame, checks: Sequence[Check], where: Column | None =
     any_hard, any_soft = F.length(hard) > 0, F.length(soft) > 0
     separator = F.when(any_hard & any_soft, "|").otherwise("")
     status = F.when(any_hard, "FAIL").when(any_soft, "WARN").otherwise("PASS")
-    return listed.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.when(checked, status).alias("dq_status"),
-        F.when(checked, F.concat(hard, separator, soft)).alias("dq_failed_checks"),
-        F.when(checked, F.when(any_hard, 0).otherwise(1)).alias("validation_flag"),
-    )
+    outcome = {
+        "dq_status": F.when(checked, status),
+        "dq_failed_checks": F.when(checked, F.concat(hard, separator, soft)),
+        "validation_flag": F.when(checked, F.when(any_hard, 0).otherwise(1)),
+    }
+    return settle(listed, outcome).drop("_hard_failures", "_soft_failures")
 
 
 def dq_valid(checked: DataFrame) -> DataFrame:

@@ -20,9 +20,10 @@ MISSING_TEXTS = [
 def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The columns of ``schema`` found by header name; missing and unusable texts become NULL.
 
-    Reading only what the schema names lets Spark prune the other columns of the file.
+    Reading only what the schema names lets Spark prune the other columns of the file.  Files of
+    one folder must share their header; one that differs fails the scan.
     """
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
     def typed(f: T.StructField):
         raw = F.col(f"`{f.name}`")

@@ -21,6 +21,7 @@ from tidegate.catalog import (
     PAYMENT_MODES,
     PAYMENT_STATUSES,
 )
+from tidegate.operators.settle import settle
 
 # What the generated columns are drawn from.
 FIRST_NAMES = [
@@ -94,6 +95,14 @@ def _digests(ids: DataFrame, names: Sequence[str], seed: int, *keep: str) -> Dat
     return ids.select("id", *keep, *[_digest(n, seed).alias(f"_d_{n}") for n in names])
 
 
+def _in_steps(df: DataFrame, values: dict[str, Column], width: int = 5) -> DataFrame:
+    """Add the columns a few at a time, so that no generated method grows too long to compile."""
+    names = list(values)
+    for start in range(0, len(names), width):
+        df = settle(df, {n: values[n] for n in names[start : start + width]})
+    return df
+
+
 def employees(ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> DataFrame:
     """One delivered employee row, 25 text columns, per row of ``ids`` (column ``id``)."""
     names = EMPLOYEE_MASTER.names
@@ -163,7 +172,7 @@ def employees(ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> Da
         "created_ts": F.lit(generated_at),
     }
     drawn = [n for n in names if n != "created_ts"]
-    return _digests(ids, drawn, seed).select("id", *[values[n].alias(n) for n in names])
+    return _in_steps(_digests(ids, drawn, seed), values).select("id", *names)
 
 
 def payroll(employee_ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -211,7 +220,7 @@ def payroll(employee_ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED
 
     values: dict[str, Column] = {
         "transaction_id": F.concat(F.lit("TXN"), _between("transaction_id", 2, 10_000_000, 99_999_999).cast("string")),
-        "employee_id": dirty(F.col("employee_id"), "employee_id", 0.005),
+        "employee_id": dirty(F.col("_employee_id"), "employee_id", 0.005),
         "payroll_month": F.col("month"),
         "payroll_year": F.substring("month", 1, 4),
         "basic_salary": dirty(amount("basic"), "basic_salary"),
@@ -235,4 +244,4 @@ def payroll(employee_ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED
         "payment_status": dirty(_pick("payment_status", 2, PAYMENT_STATUSES), "payment_status"),
         "created_ts": F.lit(generated_at),
     }
-    return cents.select("id", *[values[c].alias(c) for c in PAYROLL_COLUMNS])
+    return _in_steps(cents.withColumnRenamed("employee_id", "_employee_id"), values).select("id", *PAYROLL_COLUMNS)

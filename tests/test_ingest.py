@@ -230,6 +230,20 @@ def test_delivery_is_verified_before_it_is_read(spark, tmp_path):
     assert (result.status, result.valid) == (SUCCESS, 2)
 
 
+def test_a_failing_job_is_reported(spark, tmp_path):
+    landing = tmp_path / "landing"
+    zones = Zones(str(tmp_path / "lake"), "people")
+    file = landing / "people" / "people_20240115.csv"
+    write(file, "1,HR,1,a@b")
+    fact = file_facts(spark, str(landing / "people"), file.name).first()
+    claim = {"checksum": fact["checksum"], "expected_rows": 1, "file_size_bytes": file.stat().st_size}
+    (landing / "people" / "people_20240115_manifest.json").write_text(json.dumps(claim))
+    broken = Options(hash_columns=["no_such_column"])
+    result = ingest_delivery(spark, str(landing), CONTRACT, zones, DAY, broken)
+    assert result.status == FAILED and "no_such_column" in result.errors[0]
+    assert spark.read.json(zones.audit).first()["status"] == FAILED
+
+
 def test_scan_once(spark, tmp_path):
     """The annotated rows come from one scan and no shuffle."""
     from tidegate.plans.ingest import annotate_all

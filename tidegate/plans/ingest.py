@@ -320,23 +320,30 @@ def ingest_delivery(
 ) -> RunResult:
     """The daily job: find the file of ``run_date``, verify it against its manifest, ingest it.
 
-    A file that fails verification is not read; the result says why.
+    A file that fails verification is not read.  The result says what went wrong, also when the
+    job itself fails, so that a caller can go on with other datasets.
     """
     day = date.fromisoformat(run_date)
+    run_id = run_id or new_run_id()
     name = f"{contract.name}_{day:%Y%m%d}.csv"
     folder = f"{landing.rstrip('/')}/{contract.name}"
-    if exists(spark, folder):
-        expected = spark.createDataFrame([(contract.name, name)], "dataset_name STRING, file_name STRING")
-        manifest = name.removesuffix(".csv") + "_manifest.json"
-        verified = verify_files(
-            expected, file_facts(spark, folder, name), read_manifests(spark, folder, manifest)
-        )
-        row = verified.first()
-        errors, paths = list(row["errors"]), [f"{folder}/{name}"] if row["passed"] else []
-    else:
-        errors, paths = ["file_arrived: file not found"], []
-    if not paths:
-        result = RunResult(contract.name, run_date, run_id or new_run_id(), FAILED, errors=errors)
-        write_records(audit_row(spark, result), zones.audit, run_date)
-        return result
-    return ingest_files(spark, paths, contract, zones, run_date, None, options, run_id)
+    try:
+        errors = _delivery_errors(spark, folder, contract.name, name)
+        if not errors:
+            return ingest_files(
+                spark, f"{folder}/{name}", contract, zones, run_date, None, options, run_id
+            )
+    except Exception as e:
+        errors = [f"{type(e).__name__}: {e}"]
+    result = RunResult(contract.name, run_date, run_id, FAILED, errors=errors)
+    write_records(audit_row(spark, result), zones.audit, run_date)
+    return result
+
+
+def _delivery_errors(spark: SparkSession, folder: str, dataset: str, name: str) -> list[str]:
+    if not exists(spark, folder):
+        return ["file_arrived: file not found"]
+    expected = spark.createDataFrame([(dataset, name)], "dataset_name STRING, file_name STRING")
+    manifest = name.removesuffix(".csv") + "_manifest.json"
+    facts, claims = file_facts(spark, folder, name), read_manifests(spark, folder, manifest)
+    return list(verify_files(expected, facts, claims).first()["errors"])

@@ -35,7 +35,7 @@ DESIGNATIONS = [
     "Analyst", "Senior Analyst", "Manager", "Senior Manager", "Director", "VP", "AVP", "Associate",
 ]
 LOCATIONS = ["Mumbai", "Bangalore", "Chennai", "Hyderabad", "Delhi", "Pune"]
-EMAIL_DOMAINS = ["corp.com", "hcm.org", "enterprise.in"]
+EMAIL_DOMAINS = ["example.com", "example.org", "example.net"]
 MIDDLE_NAMES = ["A", "B", "C", ""]
 PAYROLL_MONTHS = ["2024-01", "2024-02", "2024-03"]
 DIRT_TOKENS = ["NA", "N/A", "NULL", "none", "  "]

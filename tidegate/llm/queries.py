@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, language, sentencepiece_codec, simhash
+from tidegate.llm import (
+    decontaminate,
+    hashing_index,
+    language,
+    lempel_ziv,
+    licences,
+    quality_rules,
+    secrets,
+    sentencepiece_codec,
+    simhash,
+    site_style,
+)
 from tidegate.llm.shared import crc_remainder, table
 
 MODEL_FILE = "piece_bpe_32k.model"
@@ -26,6 +37,58 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratios = secrets.train(secrets.labelled_samples(docs))
+    spans = F.col("spans")
+    return secrets.scan(docs, ratios).select(
+        "row.doc_id",
+        *[secrets.counted(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.described(spans, "assign", "access", "hex"), 256).alias("base_sha256"),
+        secrets.described(spans).alias("spans"),
+    )
+
+
+def op3_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_style.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licences.find_licences(docs, licences.known_licences(spark), keep=["doc_id"])
+    notices = F.transform("notices", lambda n: F.concat_ws(":", n["line"].cast("string"), n["licence"]))
+    return found.select(
+        "row.doc_id",
+        F.coalesce("whole", F.lit("")).alias("whole_licence"),
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(notices, ",").alias("notices"),
+    )
+
+
+def op5_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lempel_ziv.duplicate_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id", "n_words", lempel_ziv.n_removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op6_hashing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rules = quality_rules.fit(docs.where(crc_remainder(F.col("doc_id"), 4) != 2), labels)
+    scored = quality_rules.with_statistics(docs, keep=["doc_id"]).select("row.doc_id", rules.score().alias("score"))
+    return scored.select(
+        "doc_id",
+        (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -56,4 +119,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op8_simhash, op9_sentencepiece, op10_decontaminate)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_language,
+            op2_secrets,
+            op3_site_style,
+            op4_licences,
+            op5_lempel_ziv,
+            op6_hashing_index,
+            op7_quality_rules,
+            op8_simhash,
+            op9_sentencepiece,
+            op10_decontaminate,
+        )
+    }

@@ -60,7 +60,7 @@ def map_texts(
 def explode_batches(
     df: DataFrame,
     start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """A mapInArrow whose function sees a few rows at a time and may return any number of rows."""
 

@@ -2,6 +2,89 @@
 
 from __future__ import annotations
 
+from tidegate.llm.licences import BETWEEN, COPYRIGHT, EQUIVALENT, KNOWN
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op4() -> str:
+    def same(words: str) -> str:
+        out = f"' ' || trim({words}) || ' '"
+        for found, put in EQUIVALENT:
+            out = f"replace({out}, ' {found} ', ' {put} ')"
+        return f"trim({out})"
+
+    def form(text: str) -> str:
+        return same(f"regexp_replace({text}, {_quoted(BETWEEN)}, ' ', 'g')")
+
+    def lowered(text: str) -> str:
+        return f"regexp_replace(lower(coalesce({text}, '')), {_quoted(COPYRIGHT)}, ' ', 'g')"
+
+    values = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in KNOWN)
+    return f"""
+with known as (
+  select form, min(licence) as licence
+  from (select licence, {form(lowered("text"))} as form from (values {values}) v(licence, text))
+  where form <> '' group by form),
+docs as (select doc_id, {lowered("text")} as body from documents),
+lines as (select doc_id, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) - 1 as line_no from docs),
+notices as (
+  select doc_id, count(*) as n, string_agg(line_no || ':' || licence, ',' order by line_no) as notices
+  from (select doc_id, line_no, {form("line")} as form from lines) join known using (form) group by doc_id),
+whole as (select doc_id, licence from (select doc_id, {form("body")} as form from docs) join known using (form))
+select doc_id, coalesce(licence, '') as whole_licence, coalesce(n, 0) as n_notices, coalesce(notices, '') as notices
+from docs left join whole using (doc_id) left join notices using (doc_id)"""
+
+
+_OP5 = r"""
+with split as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+word as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as i from split),
+windows as (
+  select doc_id, i, sha256(array_to_string(words[i : i + 34], ' ')) as h
+  from (select doc_id, words, unnest(range(1, len(words) - 33)) as i from split)),
+again as (select h from windows group by h having count(*) > 1),
+starts as (select doc_id, i from windows semi join again using (h)),
+marked as (
+  select doc_id, i, word,
+    count(starts.i) over (partition by word.doc_id order by word.i rows between 34 preceding and current row) > 0 as gone
+  from word left join starts using (doc_id, i)),
+kept as (
+  select doc_id, count_if(gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept
+  from marked group by doc_id)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from split left join kept using (doc_id)"""
+
+_OP10 = r"""
+with norm as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+item as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+windows as (
+  select distinct item_id, least(len(words), 10) as n, array_to_string(words[i : i + 9], ' ') as key
+  from (select item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i from item where len(words) > 0)),
+sizes as (select distinct n from windows),
+places as (
+  select doc_id, n, i, array_to_string(words[i : i + n - 1], ' ') as key
+  from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from norm, sizes)),
+found as (select doc_id, places.n, i, item_id from places join windows on places.n = windows.n and places.key = windows.key),
+hit as (
+  select doc_id, count(distinct word_no) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as word_no from (select distinct doc_id, n, i from found)) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from norm left join hit using (doc_id) left join items using (doc_id)"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_licences": _op4(), "op5_lempel_ziv": _OP5, "op10_decontaminate": _OP10}

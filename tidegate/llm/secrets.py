@@ -37,6 +37,8 @@ RUN = 256
 MASK = "[SECRET]"
 
 _SIZE = len(ALPHABET) + 1
+#: Weight of single characters beside the pairs seen.
+_BACK_OFF = 4.0
 
 
 def _bound(value: Column, body) -> Column:
@@ -126,17 +128,19 @@ def _places(token: Column) -> Column:
 def train(samples: DataFrame, token: str = "token", label: str = "is_random") -> list[float]:
     """Log-likelihood ratios of all bigrams, from tokens labelled random (true) or ordinary (false).
 
-    Bigrams are counted by Spark; at most two rows per pair of characters reach the driver.  Counts
-    are smoothed by a half, so without samples every ratio is 0 and nothing is random.
+    Bigrams are counted by Spark; at most two rows per pair of characters reach the driver.  A
+    character after another backs off to the character alone, whose count is smoothed by a half, so
+    without samples every ratio is 0 and nothing is random.
     """
     pairs = samples.where(F.col(token).isNotNull()).select(F.col(label).alias("label"), F.explode(_places(F.col(token))).alias("pair"))
     counts = {(r["label"], r["pair"]): r["n"] for r in pairs.groupBy("label", "pair").agg(F.count("*").alias("n")).collect()}
-    out = []
-    for a in range(_SIZE):
-        rows = {x: [counts.get((x, a * _SIZE + b), 0) + 0.5 for b in range(_SIZE)] for x in (True, False)}
-        sums = {x: sum(r) for x, r in rows.items()}
-        out += [math.log(rows[True][b] / sums[True] * sums[False] / rows[False][b]) for b in range(_SIZE)]
-    return out
+    chance: dict[bool, list[list[float]]] = {}
+    for x in (True, False):
+        n = [[counts.get((x, a * _SIZE + b), 0) for b in range(_SIZE)] for a in range(_SIZE)]
+        single = [sum(column) + 0.5 for column in zip(*n, strict=True)]
+        total = sum(single)
+        chance[x] = [[(k + _BACK_OFF * s / total) / (sum(row) + _BACK_OFF) for k, s in zip(row, single, strict=True)] for row in n]
+    return [math.log(r / o) for rs, os in zip(chance[True], chance[False], strict=True) for r, o in zip(rs, os, strict=True)]
 
 
 def ratio(token: Column, table: list[float]) -> Column:

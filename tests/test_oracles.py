@@ -6,6 +6,8 @@ import pytest
 from comparison import connect, difference
 
 import __spark_entry__ as entry
+from tidegate.plans.oracles import all_oracles
+from tidegate.plans.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +17,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, name):
     result = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
@@ -26,7 +28,8 @@ def test_query(spark, con, name):
 
 
 def test_only_the_fit_has_no_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"loan_model"}
+    assert set(all_queries()) - set(all_oracles()) == {"loan_model"}
+    assert set(all_queries()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

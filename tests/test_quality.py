@@ -164,3 +164,33 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert hot_keys(df, ["k"], min_rows=1000).count() == 1
     assert hot_keys(df, ["k"], min_rows=10**9).count() == 0
     assert hot_keys(df, ["k"], min_rows=1).count() <= 1000
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize(
+    ("a", "b"), [("int", "bigint"), ("bigint", "int"), ("date", "timestamp"), ("string", "int"), ("decimal(9,2)", "decimal(12,4)")]
+)
+def test_salted_join_of_unlike_types(spark, how, a, b):
+    def as_type(column, kind):
+        return F.date_add(F.lit("2024-01-01").cast("date"), column.cast("int")).cast(kind) if kind in ("date", "timestamp") else column.cast(kind)
+
+    left = spark.range(300).select(
+        as_type(F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 40), a).alias("k"), "id"
+    )
+    right = spark.range(4, 9).select(as_type(F.col("id"), b).alias("k"), F.col("id").alias("v"))
+    plain = left.join(right.withColumnRenamed("k", "rk"), F.col("k") == F.col("rk"), how).drop("rk")
+    salted = salted_join(left, right, ["k"], how, min_rows=1)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_rows_without_key_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(8000, numPartitions=4).select(F.when(F.col("id") % 100 == 0, F.col("id")).alias("k"))
+        flagged = flag_duplicates(rows, ["k"])
+        sizes = [len(p) for p in flagged.rdd.glom().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -49,6 +49,6 @@ def batch_metrics() -> list[Column]:
     ]
 
 
-def reason_counts(rejected: DataFrame) -> DataFrame:
-    """Rows per rejection layer and reason."""
-    return rejected.groupBy("rejection_layer", "rejection_reason").agg(F.count("*").alias("rows"))
+def reason_counts(rejected: DataFrame, *context: str) -> DataFrame:
+    """Rows per rejection layer and reason, and per column of the context."""
+    return rejected.groupBy(*context, "rejection_layer", "rejection_reason").agg(F.count("*").alias("rows"))

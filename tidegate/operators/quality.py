@@ -102,8 +102,8 @@ def flag_duplicates(
 ) -> DataFrame:
     """Every row plus a boolean: does its key occur more than once (in ``among``, if given)?
 
-    Keys are counted with partial aggregation and joined back, so no task ever holds all rows of
-    one key; the counts themselves name the keys whose rows must be spread.  See
+    Keys are counted with partial aggregation and joined back; the counts themselves name the keys
+    whose rows must be spread, and rows with a NULL key part are spread over all tasks.  See
     :func:`tidegate.operators.skew.salted_join` for ``spread``.
     """
     counted = repeated_keys(df if among is None else among, keys)
@@ -111,10 +111,9 @@ def flag_duplicates(
         counted.where(F.col("key_rows") >= min_rows)
         .orderBy(F.desc("key_rows"))
         .limit(HOT_KEYS)
-        .select(F.xxhash64(*keys).alias("_key_hash"), F.lit(True).alias("_hot"))
     )
     repeated = counted.select(*keys, F.lit(True).alias(flag))
-    joined = salted_join(df, repeated, keys, "left", hot=hot, spread=spread)
+    joined = salted_join(df, repeated, keys, "left", hot=hot, spread=spread, min_rows=min_rows)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

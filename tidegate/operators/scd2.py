@@ -54,22 +54,28 @@ def merge_current(
     run_date: str,
     close_missing: bool = False,
 ) -> DataFrame:
-    """Versions that come out of the open ones and a snapshot (at most one row per key each).
+    """Versions that come out of the open ones and a snapshot.
 
     One full outer join on the key, null-safe; per key it yields the kept, the closed, or the
-    closed and the new version.
+    closed and the new version.  Columns are matched by name: one that only the snapshot has is NULL
+    in older versions, one that only the open versions have is NULL in new ones.  Of several rows of
+    a key in the snapshot the one with the smallest row hash counts.
     """
-    columns = current.columns
+    content = [c for c in current.columns if c not in VERSION_COLUMNS]
+    content += [c for c in snapshot.columns if c not in content]
+    columns = [*content, *VERSION_COLUMNS]
     day = _day(run_date)
-    fresh = open_versions(snapshot, tracked, run_date).select(*columns)
-    old = current.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_old_{k}") for k in keys])
-    new = fresh.select(F.struct(*columns).alias("_new"), *[F.col(k).alias(f"_new_{k}") for k in keys])
+    given = snapshot.columns
 
-    on: Column | None = None
-    for k in keys:
-        same = F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}"))
-        on = same if on is None else on & same
-    pairs = old.join(new, on, "full_outer")
+    def filled(df: DataFrame, other: DataFrame) -> list[Column]:
+        return [F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+
+    # Rows of a key meet as structs, which compare NULLs as equal; the join keeps their partitioning.
+    one = snapshot.groupBy(F.struct(*keys).alias("_new_key")).agg(F.min_by(F.struct(*given), row_hash(given)).alias("_row"))
+    fresh = open_versions(one.select("_new_key", "_row.*"), tracked, run_date)
+    old = current.select(F.struct(*keys).alias("_old_key"), F.struct(*filled(current, fresh)).alias("_old"))
+    new = fresh.select("_new_key", F.struct(*filled(fresh, current)).alias("_new"))
+    pairs = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
 
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     changed = has_old & has_new & (F.col("_old.version_hash") != F.col("_new.version_hash"))
@@ -98,4 +104,5 @@ def merge(
     before = undo_run(dimension, run_date)
     history = before.where(~F.col("is_current"))
     current = before.where(F.col("is_current"))
-    return history.unionByName(merge_current(current, snapshot, keys, tracked, run_date, close_missing))
+    merged = merge_current(current, snapshot, keys, tracked, run_date, close_missing)
+    return merged.unionByName(history, allowMissingColumns=True)

@@ -103,9 +103,14 @@ def annotate(
     contract: Contract,
     checks: Sequence[Check] | None = None,
     options: Options = Options(),
+    record_all: bool = False,
 ) -> DataFrame:
     """Every delivered row with its typed values, DQ outcome and, where refused, the reason,
-    the layer that refused it and the delivered text."""
+    the layer that refused it and the delivered text.
+
+    The text is also kept where a row may be refused later: everywhere with ``record_all``, at soft
+    findings with ``options.escalate``.
+    """
     if checks is None:
         checks = build_checks(contract.declared_rules(), options.as_of)
     # Enforcement has refused these NULLs already, so the checks could not find any.
@@ -139,7 +144,10 @@ def annotate(
             "rejection_reason": F.coalesce("rejection_reason", F.when(failed, F.col("dq_failed_checks"))),
         }
     )
-    return finish(layered, F.col("rejection_layer").isNotNull())
+    recorded = F.lit(True) if record_all else F.col("rejection_layer").isNotNull()
+    if options.escalate:
+        recorded = recorded | F.coalesce(F.col("dq_status") == "WARN", F.lit(False))
+    return finish(layered, recorded)
 
 
 def annotate_all(
@@ -147,9 +155,10 @@ def annotate_all(
     contract: Contract,
     checks: Sequence[Check] | None = None,
     options: Options = Options(),
+    record_all: bool = False,
 ) -> DataFrame:
     """Annotated rows of several header groups; columns only some have are NULL elsewhere."""
-    parts = [annotate(f, contract, checks, options) for f in frames]
+    parts = [annotate(f, contract, checks, options, record_all) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -194,13 +203,13 @@ def ingest_frames(
         reason = _evolution_problem(spark, annotated, contract, zones, run_date)
         if reason:
             result.errors.append(reason)
-            annotated = refuse_all(annotated, reason)
+            annotated = refuse_all(annotate_all(frames, contract, checks, options, record_all=True), reason)
             blocked = [reason]
 
     if options.keep:
         annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = _write(annotated, zones, result, options)
+        counts = write_outcomes(annotated, zones, result, options)
     finally:
         if options.keep:
             annotated.unpersist()
@@ -215,8 +224,15 @@ def ingest_frames(
     return result
 
 
-def _write(annotated: DataFrame, zones: Zones, result: RunResult, options: Options) -> dict[str, Any]:
+def write_outcomes(
+    annotated: DataFrame, zones: Zones, result: RunResult, options: Options, part: str | None = None
+) -> dict[str, Any]:
+    """Write valid rows, refused rows and the summary of a run; returns its counts.
+
+    ``part`` names what the run owns below ``dt=`` in each zone, by default its whole date.
+    """
     run_date, run_id = result.run_date, result.run_id
+    part = part or run_date
 
     def over_threshold(counts: dict[str, Any]) -> bool:
         checked = counts["read"] - counts["schema_rejected"]
@@ -236,11 +252,11 @@ def _write(annotated: DataFrame, zones: Zones, result: RunResult, options: Optio
         valid_rows(annotated), zones.dataset, run_date, run_id, options.hash_columns
     )
     refused = add_quarantine_columns(refused_rows(annotated), run_id)
-    write_date(audited, zones.valid, run_date, options.partition_columns)
-    write_date(refused, zones.quarantine, run_date)
+    write_date(audited, zones.valid, part, options.partition_columns)
+    write_date(refused, zones.quarantine, part)
 
     def written(root: str, schema: T.StructType) -> DataFrame:
-        return annotated.sparkSession.read.schema(schema).parquet(f"{root}/dt={run_date}")
+        return annotated.sparkSession.read.schema(schema).parquet(f"{root}/dt={part}")
 
     stored_valid = written(zones.valid, audited.schema)
     stored_refused = written(zones.quarantine, refused.schema)
@@ -249,10 +265,14 @@ def _write(annotated: DataFrame, zones: Zones, result: RunResult, options: Optio
     counts = outcomes.agg(*batch_metrics()).first().asDict()
     if not options.escalate:
         result.breach = over_threshold(counts)
-    summary = reason_counts(stored_refused).select(
-        F.lit(zones.dataset).alias("dataset"), F.lit(run_id).alias("pipeline_run_id"), "*"
+    context = ["source_file"] if "source_file" in stored_refused.columns else []
+    summary = reason_counts(stored_refused, *context).select(
+        F.lit(zones.dataset).alias("dataset"),
+        F.lit(run_id).alias("pipeline_run_id"),
+        F.current_timestamp().alias("summary_ts"),
+        "*",
     )
-    write_records(summary, zones.summary, run_date)
+    write_records(summary, zones.summary, part)
     return counts
 
 
@@ -276,11 +296,16 @@ def escalate_warnings(annotated: DataFrame) -> DataFrame:
 def _evolution_problem(
     spark: SparkSession, annotated: DataFrame, contract: Contract, zones: Zones, run_date: str
 ) -> str | None:
-    """Compare with the latest earlier date; schemas only, no rows are read."""
-    previous = latest_date(spark, zones.valid, "dt", before=run_date)
+    """Compare with the latest earlier date that was not refused; schemas only, no rows are read
+    (but for one audit row per date)."""
+    refused: set[str] = set()
+    if exists(spark, zones.audit):
+        audit = spark.read.schema("run_date STRING, status STRING").json(zones.audit)
+        refused = {r.run_date for r in audit.where(F.col("status") == FAILED).select("run_date").distinct().collect()}
+    previous = latest_date(spark, zones.valid, "dt", before=run_date, besides=refused)
     if previous is None:
         return None
-    stored = read_partition(spark, zones.valid, previous).drop("dt").schema
+    stored = read_partition(spark, zones.valid, previous, contract.struct()).drop("dt", "batch").schema
     return incompatibility(stored, valid_rows(annotated).schema, contract.evolution)
 
 

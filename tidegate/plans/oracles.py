@@ -226,6 +226,11 @@ DAY_1 = ("2024-01-01", "c_custkey % 10 <> 0", "c_mktsegment")
 DAY_2 = ("2024-01-02", "c_custkey % 13 <> 0", "case when c_custkey % 7 = 0 then 'CHANGED' else c_mktsegment end")
 DAY_3 = ("2024-01-03", "c_custkey % 17 <> 0", "c_mktsegment")
 
+
+def _hot(key: str, row: str) -> str:
+    return f"case when {row} % 3 = 0 then 1 when {row} % 6 = 1 then null else {key} end"
+
+
 # -- loans -------------------------------------------------------------------------------------
 
 FEATURES = """
@@ -547,6 +552,17 @@ def all_oracles() -> dict[str, str]:
             from checked group by all""",
         "fk_orphans": """select o.* from orders o anti join (select * from customer where c_custkey % 7 <> 0) c
             on o.o_custkey = c.c_custkey where o.o_custkey is not null""",
+        "orphans_hot": f"""with o as (select o_orderkey, ({_hot("o_custkey", "o_orderkey")})::int as o_custkey from orders)
+            select o.* from o anti join (select * from customer where c_custkey % 7 <> 0) c
+            on o.o_custkey = c.c_custkey where o.o_custkey is not null""",
+        "unique_hot": f"""with l as (select l_orderkey, l_linenumber, {_hot("l_orderkey", "l_orderkey")} as k from lineitem),
+            counted as (select *, k is not null and count(*) over (partition by k, l_linenumber) > 1 as r from l)
+            select r as _is_repeated, count(*) as rows, sum(l_orderkey)::bigint as key_sum from counted group by all""",
+        "features_hot": f"""with late as (select l_orderkey, max(l_quantity::int * 3 - 45) as worst from lineitem group by all),
+            o as (select o_orderkey as loan_id, ({_hot("o_custkey", "o_orderkey")})::int as borrower_id from orders)
+            select loan_id, borrower_id, c_acctbal as income, (c_custkey % 551 + 300)::int as credit_score,
+              case when worst >= 90 then 1 else 0 end as default_flag
+            from o join late on loan_id = l_orderkey left join customer on borrower_id = c_custkey""",
         "dq_exists": "with o as (select o_orderkey, case when o_orderkey % 5 <> 0 then o_custkey end as fk from orders), "
         "j as (select o.*, c_custkey from o left join customer on fk = c_custkey and c_custkey % 7 <> 0) select o_orderkey, "
         + _dq([], [("fk is not null and c_custkey is null", "o_custkey__exists")])
@@ -659,13 +675,48 @@ def all_oracles() -> dict[str, str]:
               count(*) filter (reason is null and dq_status = 'WARN') as warned from annotated)
             select 'orders' as dataset, '2024-01-15' as run_date, 'run-1' as run_id, 'PARTIAL' as status, *,
               (dq_failed + warned) / (read - schema_rejected) > 0.05 as breach, false as escalated from counts""",
+        "quarantine_escalated": f"""with {ANNOTATED} select t_key as raw_key,
+              coalesce(rejection_layer, 'DQ_CHECK') as rejection_layer, coalesce(rejection_reason, dq_failed_checks) as rejection_reason
+            from annotated where rejection_layer is not null or dq_status = 'WARN'""",
+        "evolution_three_days": """with n as (select count(*) as n from part), d as (select unnest([1, 2, 3, 4]) as d)
+            select '2024-01-0' || d as run_date, case when d in (2, 3) then 'FAILED' else 'SUCCESS' end as status,
+              case when d in (2, 3) then 0 else n end as valid, case when d in (2, 3) then n else 0 end as schema_rejected
+            from d, n""",
+        "quarantine_evolution": """select p_partkey, 'SCHEMA_ENFORCEMENT' as rejection_layer,
+              'INCOMPATIBLE_SCHEMA:TYPE_CHANGE:p_size' as rejection_reason from part""",
+        "partitioned_two_days": "select lpad((o_orderkey % 2)::varchar, 3, '0') as half, count(*) as rows from orders group by all",
+        "scd2_new_column": """
+            with a as (select * from customer where c_custkey % 10 <> 0), b as (select * from customer where c_custkey % 13 <> 0),
+            pairs as (select coalesce(a.c_custkey, b.c_custkey) as c_custkey, a.c_custkey is not null as old,
+                b.c_custkey is not null as new, coalesce(a.c_name, b.c_name) as name,
+                coalesce(a.c_mktsegment, b.c_mktsegment) as segment, coalesce(a.c_custkey, b.c_custkey) % 7 = 0 as changed
+              from a full join b on a.c_custkey = b.c_custkey)
+            select c_custkey, name as c_name, segment as c_mktsegment, null::bigint as grade, date '2024-01-01' as effective_from,
+              case when not new or changed then date '2024-01-02' end as effective_to, new and not changed as is_current
+            from pairs where old
+            union all
+            select c_custkey, null, case when changed then 'CHANGED' else segment end, c_custkey % 4, date '2024-01-02', null, true
+            from pairs where new and (not old or changed)""",
+        "landing_folder": f"""with {DELIVERED},
+            c as (select k, c_name, case when trim(c_mktsegment, ' ') in {TOKENS} then null else c_mktsegment end as s from delivered)
+            select k as c_custkey, c_name, case when k % 3 <> 2 then s end as c_mktsegment,
+              case when k % 3 = 0 then 'x' end as loyalty, null::varchar as rejection_reason from c""",
+        "stream_summary": f"""with {ORDERS_FILES},
+            outcomes as (select case when reason is not null then 'SCHEMA_ENFORCEMENT' else 'DQ_CHECK' end as rejection_layer,
+                coalesce(reason, case when not o_totalprice > 0 then 'o_totalprice__positive' end) as rejection_reason from annotated)
+            select 'orders' as dataset, rejection_layer, rejection_reason, count(*) as rows
+            from outcomes where rejection_reason is not null group by all""",
+        "stream_audit": f"""with {ORDERS_FILES},
+            outcomes as (select reason is not null as s, reason is null and coalesce(not o_totalprice > 0, false) as d from annotated)
+            select 'orders' as dataset, 'PARTIAL' as status, count(*) as read, count_if(s)::bigint as schema_rejected,
+              count_if(d)::bigint as dq_failed, count_if(not s and not d)::bigint as valid from outcomes""",
         "file_rows": "select c_nationkey, count(*) as data_rows, 1::bigint as files from customer group by all",
         "file_verification": f"with {VERIFIED} select *, error_count = 0 as passed from counted",
         "raw_partition": """select o_orderkey, o_orderstatus, year(o_orderdate)::int as y from orders
             where year(o_orderdate) = 1997""",
         "raw_table": """select make_date(year(o_orderdate)::bigint, 1::bigint, 1::bigint) as dt, count(*) as rows,
               sum(o_orderkey)::bigint as key_sum
-            from orders where year(o_orderdate) in (1997, 1998) group by all""",
+            from orders where year(o_orderdate) >= 1997 group by all""",
         "stream_ingest": f"""with {ORDERS_FILES},
             outcomes as (select coalesce(reason, case when not o_totalprice > 0 then 'o_totalprice__positive' end) as rejection_reason
               from annotated)

@@ -36,7 +36,7 @@ from tidegate.sinks.zones import (
     write_date,
 )
 from tidegate.sources.files import file_facts, read_manifest_records
-from tidegate.sources.landing import list_files
+from tidegate.sources.landing import list_files, read_landing
 from tidegate.sources.loans import read_borrowers, read_loans, read_repayments
 from tidegate.sources.synthetic import employees, payroll
 from tidegate.sources.zones import read_partition, read_zone
@@ -310,6 +310,41 @@ def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return quality.orphans(_table(spark, sf, "orders"), _some_customers(spark, sf), "o_custkey", "c_custkey")
 
 
+def _hot(key: Column, row: Column) -> Column:
+    """A key that a third of the rows share and a sixth lack."""
+    return F.when(row % 3 == 0, 1).when(row % 6 == 1, None).otherwise(key)
+
+
+#: Low enough for the hot keys of these queries at any scale.
+HOT_FROM = 50
+
+
+@query
+def orphans_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphans with a hot key, many missing keys, and an INT foreign key against a BIGINT parent."""
+    k = F.col("o_orderkey")
+    orders = _table(spark, sf, "orders").select("o_orderkey", _hot(F.col("o_custkey"), k).cast("int").alias("o_custkey"))
+    return quality.orphans(orders, _some_customers(spark, sf), "o_custkey", "c_custkey", HOT_FROM)
+
+
+@query
+def unique_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Key uniqueness with a hot key and many missing keys."""
+    k = F.col("l_orderkey")
+    lines = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", _hot(k, k).alias("k"))
+    flagged = quality.flag_duplicates(lines, ["k", "l_linenumber"], min_rows=HOT_FROM)
+    return flagged.groupBy("_is_repeated").agg(F.count("*").alias("rows"), F.sum("l_orderkey").alias("key_sum"))
+
+
+@query
+def features_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Loan features where a borrower has a third of the loans and many loans have none."""
+    repayments, loans, borrowers = _loan_tables(spark, sf)
+    loans = loans.withColumn("borrower_id", _hot(F.col("borrower_id"), F.col("loan_id")).cast("int"))
+    features = risk.loan_features(repayments, loans, borrowers, HOT_FROM)
+    return features.select("loan_id", "borrower_id", "income", "credit_score", "default_flag")
+
+
 @query
 def dq_exists(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
@@ -412,6 +447,14 @@ def scd2_three_days(spark: SparkSession, sf: str) -> DataFrame:
     return _merge(two, _day(spark, sf, 17, 1_000_000_007), "2024-01-03").drop("version_hash")
 
 
+@query
+def scd2_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """The second day brings a column that the dimension lacks and lacks one it has; every key
+    comes twice in the snapshot."""
+    second = _day(spark, sf, 13, 7).drop("c_name").withColumn("grade", F.col("c_custkey") % 4)
+    return _merge(_first_day(spark, sf), second.unionByName(second), "2024-01-02").drop("version_hash")
+
+
 @query
 def reconcile_customer(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
@@ -703,7 +746,59 @@ def csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.json(f"{_ingest_orders(spark, sf).summary}/dt={RUN_DATE}")
+    """Refused rows per reason, over all delivered files; the zone keeps them per file."""
+    stored = spark.read.json(f"{_ingest_orders(spark, sf).summary}/dt={RUN_DATE}")
+    keys = ["dataset", "pipeline_run_id", "rejection_layer", "rejection_reason"]
+    known = F.col("source_file").isNotNull() & F.col("summary_ts").isNotNull()
+    return stored.where(known).groupBy(*keys).agg(F.sum("rows").alias("rows"))
+
+
+@query
+def quarantine_escalated(spark: SparkSession, sf: str) -> DataFrame:
+    """Above the threshold, rows with soft findings are refused too, with their delivered text."""
+    zones = Zones(new_folder(spark, "zones"), "customer")
+    options = ingest.Options(soft_fail_threshold=0.0, escalate=True)
+    ingest.ingest_frames([delivered_customers(spark, sf)], CUSTOMER, zones, RUN_DATE, options=options)
+    refused = read_partition(spark, zones.quarantine, RUN_DATE)
+    return refused.select(F.get_json_object("raw_record", "$.c_custkey").alias("raw_key"), "rejection_layer", "rejection_reason")
+
+
+def _three_days(spark: SparkSession, sf: str) -> Zones:
+    """A type change on the second and third day, and the old type again on the fourth."""
+    zones = Zones(new_folder(spark, "zones"), "part")
+    parts = _table(spark, sf, "part").select(F.col("p_partkey").cast("string"), F.col("p_size").cast("string"))
+    for day, kind in enumerate(("STRING", "DOUBLE", "DOUBLE", "STRING"), 1):
+        contract = Contract.define("part", mandatory=f"p_partkey BIGINT, p_size {kind}")
+        ingest.ingest_frames([parts], contract, zones, f"2024-01-0{day}")
+    return zones
+
+
+@query
+def evolution_three_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Status per day: a refused schema stays refused until the accepted one comes back."""
+    return spark.read.json(_three_days(spark, sf).audit).select("run_date", "status", "valid", "schema_rejected")
+
+
+@query
+def quarantine_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a batch with a refused schema keep their delivered text."""
+    refused = read_partition(spark, _three_days(spark, sf).quarantine, "2024-01-02")
+    key = F.get_json_object("raw_record", "$.p_partkey").cast("bigint").alias("p_partkey")
+    return refused.select(key, "rejection_layer", "rejection_reason")
+
+
+@query
+def partitioned_two_days(spark: SparkSession, sf: str) -> DataFrame:
+    """A text column of digits as a partition column: the second day is accepted, its zeros stay."""
+    zones = Zones(new_folder(spark, "zones"), "orders")
+    contract = Contract.define("orders", mandatory="o_orderkey BIGINT, half STRING")
+    half = F.lpad((F.col("o_orderkey") % 2).cast("string"), 3, "0").alias("half")
+    orders = _table(spark, sf, "orders").select(F.col("o_orderkey").cast("string"), half)
+    options = ingest.Options(partition_columns=["half"])
+    for day in ("2024-01-01", "2024-01-02"):
+        ingest.ingest_frames([orders], contract, zones, day, options=options)
+    stored = read_partition(spark, zones.valid, "2024-01-02", contract.struct())
+    return stored.groupBy("half").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -760,12 +855,17 @@ def file_verification(spark: SparkSession, sf: str) -> DataFrame:
     return counted.drop("file_path", "errors", "dataset_name")
 
 
+def _order_years(spark: SparkSession, sf: str) -> list[int]:
+    years = _table(spark, sf, "orders").select(F.year("o_orderdate").alias("y")).distinct()
+    return sorted(r.y for r in years.collect())
+
+
 @query
 def raw_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Orders written per date, further split by status; one date read back."""
     zone = new_folder(spark, "raw-orders")
     orders = _table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
-    for year in (1996, 1997):
+    for year in _order_years(spark, sf):
         write_date(orders.where(F.col("y") == year), zone, f"{year}-01-01", ["o_orderstatus"])
     return read_partition(spark, zone, "1997-01-01").drop("dt")
 
@@ -775,7 +875,7 @@ def raw_table(spark: SparkSession, sf: str) -> DataFrame:
     """The raw zone as a catalog table, filtered on its partition column."""
     zone = new_folder(spark, "raw-table")
     orders = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
-    for year in (1996, 1997, 1998):
+    for year in _order_years(spark, sf):
         write_date(orders.where(F.col("y") == year), zone, f"{year}-01-01")
     name = "raw_orders_" + zone[-12:]
     declare_table(spark, name, zone, read_zone(spark, zone).drop("dt").schema)
@@ -787,11 +887,7 @@ def raw_table(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """CSV files taken in by the stream, in both zones."""
-    landing = _deliver_orders(spark, sf)
-    base = new_folder(spark, "stream")
-    zones = Zones(base, "orders")
-    checks = C.build_checks([C.positive_number("o_totalprice", HARD)])
-    start_ingest(spark, landing, ORDERS, zones, RUN_DATE, f"{base}/checkpoint", checks).awaitTermination()
+    zones = _streamed(spark, sf)
     valid = read_partition(spark, zones.valid, RUN_DATE).select(
         F.lit("valid").alias("zone"), F.lit(None).cast("string").alias("rejection_reason")
     )
@@ -846,3 +942,42 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
         refused.select(F.col("rejection_reason").alias("outcome"), F.col("loyalty").isNotNull().alias("has_loyalty"))
     )
     return kinds.groupBy("outcome", "has_loyalty").agg(F.count("*").alias("rows"))
+
+
+@query
+def landing_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder whose files have permuted, more and fewer columns: every value in its own column."""
+    folder = new_folder(spark, "folder")
+    customers = delivered_customers(spark, sf).select("c_custkey", "c_name", "c_mktsegment")
+    third = F.col("c_custkey").cast("bigint") % 3
+    forms = (["c_custkey", "c_name", "c_mktsegment"], ["c_mktsegment", "c_custkey", "c_name"], ["c_name", "c_custkey"])
+    for n, columns in enumerate(forms):
+        part = customers.where(third == n).select(*columns)
+        (part if n else part.withColumn("loyalty", F.lit("x"))).write.mode("append").option("header", True).csv(folder)
+    frames = read_landing(spark, folder)
+    contract = Contract.define("customer", mandatory="c_custkey BIGINT, c_name STRING", optional="c_mktsegment STRING")
+    annotated = ingest.annotate_all(frames, contract)
+    return annotated.select("c_custkey", "c_name", "c_mktsegment", "loyalty", "rejection_reason")
+
+
+def _streamed(spark: SparkSession, sf: str) -> Zones:
+    landing = _deliver_orders(spark, sf)
+    base = new_folder(spark, "stream")
+    zones = Zones(base, "orders")
+    checks = C.build_checks([C.positive_number("o_totalprice", HARD)])
+    start_ingest(spark, landing, ORDERS, zones, RUN_DATE, f"{base}/checkpoint", checks).awaitTermination()
+    return zones
+
+
+@query
+def stream_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Refused rows per reason as the stream's batches have summed them up."""
+    stored = spark.read.json(f"{_streamed(spark, sf).summary}/dt={RUN_DATE}")
+    return stored.groupBy("dataset", "rejection_layer", "rejection_reason").agg(F.sum("rows").alias("rows"))
+
+
+@query
+def stream_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream's batches read and wrote, all together."""
+    stored = spark.read.json(f"{_streamed(spark, sf).audit}/dt={RUN_DATE}")
+    return stored.groupBy("dataset", "status").agg(*[F.sum(c).alias(c) for c in ("read", "schema_rejected", "dq_failed", "valid")])

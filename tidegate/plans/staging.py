@@ -51,7 +51,7 @@ def run_staging(
     every version.
     """
     date.fromisoformat(run_date)
-    snapshot = snapshot_of(read_partition(spark, zones.valid, run_date), contract, keys)
+    snapshot = snapshot_of(read_partition(spark, zones.valid, run_date, contract.struct()), contract, keys)
     previous = latest_date(spark, zones.current, "as_of", before=run_date)
     if previous is None:
         versions = open_versions(snapshot, tracked, run_date)
@@ -73,11 +73,11 @@ def read_current(spark: SparkSession, zones: Zones, run_date: str) -> DataFrame:
 
 
 def read_dimension(spark: SparkSession, zones: Zones, run_date: str) -> DataFrame:
-    """All versions known on ``run_date``, open and closed."""
+    """All versions known on ``run_date``, open and closed, with the columns of that date."""
     current = read_current(spark, zones, run_date)
     if not exists(spark, zones.history):
         return current
-    closed = spark.read.parquet(zones.history).where(F.col("effective_to") <= F.lit(run_date).cast("date"))
+    closed = spark.read.schema(current.schema).parquet(zones.history).where(F.col("effective_to") <= F.lit(run_date).cast("date"))
     return current.unionByName(closed.select(*current.columns))
 
 
@@ -85,5 +85,5 @@ def reconcile(
     spark: SparkSession, contract: Contract, zones: Zones, run_date: str, groups: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
     """Raw snapshot against open versions, rows per group."""
-    raw = snapshot_of(read_partition(spark, zones.valid, run_date), contract, keys)
+    raw = snapshot_of(read_partition(spark, zones.valid, run_date, contract.struct()), contract, keys)
     return reconcile_counts(raw, read_current(spark, zones, run_date), groups)

@@ -35,12 +35,16 @@ def _md5_streamer(chunk: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
         for batch in batches:
             sums = []
             for path in batch["file_path"]:
-                filesystem, inner = fs.FileSystem.from_uri(path)
                 digest = hashlib.md5()
-                with filesystem.open_input_stream(inner) as source:
-                    while piece := source.read(chunk):
-                        digest.update(piece)
-                sums.append(digest.hexdigest())
+                try:
+                    filesystem, inner = fs.FileSystem.from_uri(path)
+                    with filesystem.open_input_stream(inner) as source:
+                        while piece := source.read(chunk):
+                            digest.update(piece)
+                except (OSError, ValueError, NotImplementedError):  # a storage that only Spark reaches
+                    sums.append(None)
+                else:
+                    sums.append(digest.hexdigest())
             yield batch[["file_path"]].assign(checksum=sums)
 
     return stream
@@ -54,7 +58,9 @@ def file_facts(
 ) -> DataFrame:
     """``(file_path, file_name, file_size_bytes, checksum, data_rows)`` for every file.
 
-    ``data_rows`` counts physical lines without the header.  Lines are counted over file splits
+    ``checksum`` is NULL for a file above ``in_memory_bytes`` on a storage that only Spark reaches;
+    raise the limit (up to 2 GB) to have such files hashed by Spark itself.  ``data_rows`` counts
+    physical lines without the header.  Lines are counted over file splits
     with partial aggregation, so one huge file is shared by many tasks.
     """
 
@@ -103,7 +109,7 @@ def file_facts(
         .groupBy("file_path")
         .agg(
             F.max("size").alias("file_size_bytes"),
-            F.coalesce(F.max("checksum"), F.md5(F.lit(""))).alias("checksum"),
+            F.when(F.max("size") == 0, F.md5(F.lit(""))).otherwise(F.max("checksum")).alias("checksum"),
             (F.sum("lines") - 1).alias("data_rows"),
         )
         .select(
@@ -136,7 +142,7 @@ def read_manifests(spark: SparkSession, path: str | list[str], pattern: str = "*
 
 
 def read_manifest_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Manifests kept as JSON records, one per line, as :func:`tidegate.sinks.manifests` writes."""
+    """Manifests kept as JSON records, one per line, as :func:`tidegate.sinks.zones.write_manifests` writes."""
     return (
         spark.read.schema(f"{MANIFEST_SCHEMA}, {CORRUPT_COLUMN} STRING")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)

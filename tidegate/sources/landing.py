@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidegate.contract import CORRUPT_COLUMN
 from tidegate.operators.enforce import SOURCE_COLUMN
+from tidegate.sources.zones import is_folder
 
 _PROBES_AT_ONCE = 16
 
@@ -50,18 +51,27 @@ def scan_csv(
     )
 
 
+def _is_many(spark: SparkSession, path: str) -> bool:
+    return any(c in path for c in "*?[{") or is_folder(spark, path)
+
+
 def read_landing(
     spark: SparkSession, paths: str | Sequence[str], uniform_header: bool = False
 ) -> list[DataFrame]:
     """All-string frames for the delivered files, one per distinct header (column order counts).
 
-    Headers are read file by file, many at a time.  With ``uniform_header`` only the first file
-    is looked at and Spark itself refuses a file that deviates, which suits deliveries of very
-    many parts written by one job.
+    A folder or pattern stands for the data files it holds.  The header of every file is read, many
+    at a time; values belong to the name above them, whatever the order.  With ``uniform_header``
+    only the first file is looked at and Spark itself refuses a file that deviates, which suits
+    deliveries of very many parts written by one job.
     """
-    files = [paths] if isinstance(paths, str) else list(paths)
+    given = [paths] if isinstance(paths, str) else list(paths)
     if uniform_header:
-        return [scan_csv(spark, files, read_header(spark, files[0]))]
+        first = list_files(spark, given[0]) if _is_many(spark, given[0]) else given
+        return [scan_csv(spark, given, read_header(spark, first[0]))]
+    files = [f for p in given for f in (list_files(spark, p) if _is_many(spark, p) else [p])]
+    if not files:
+        raise FileNotFoundError(f"no data files in {given}")
     with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
         headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
     groups: dict[tuple[str, ...], list[str]] = {}

@@ -11,10 +11,9 @@ from pyspark.storagelevel import StorageLevel
 
 from tidegate.contract import CORRUPT_COLUMN, Contract
 from tidegate.functions.checks import Check
-from tidegate.operators.audit import add_audit_columns, add_quarantine_columns
 from tidegate.operators.enforce import SOURCE_COLUMN
-from tidegate.plans.ingest import Options, annotate, refused_rows, valid_rows
-from tidegate.sinks.zones import Zones
+from tidegate.plans.ingest import PARTIAL, SUCCESS, Options, RunResult, annotate, audit_row, write_outcomes
+from tidegate.sinks.zones import Zones, write_records
 
 
 def read_landing_stream(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
@@ -46,19 +45,28 @@ def start_ingest(
     """Process everything available, then stop.
 
     Each micro-batch owns ``dt=<date>/batch=<n>`` in the zones, so a batch that is replayed after
-    a failure overwrites itself.  The job keeps no state between rows.
+    a failure overwrites itself, and writes a summary and an audit row like a run of the batch job.
+    The job keeps no state between rows.  Options that look beyond a batch are refused: unique keys
+    (copies in other batches would pass) and the comparison with the stored schema, which the stream
+    replaces by its fixed header.
     """
+    if options.unique_keys:
+        raise ValueError("unique_keys need the whole date: use the batch job")
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        annotated = annotate(batch, contract, checks, options).persist(StorageLevel.MEMORY_AND_DISK)
+        annotated = annotate(batch, contract, checks, options)
+        if options.keep:
+            annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+        part = f"{run_date}/batch={batch_id}"
+        result = RunResult(contract.name, run_date, f"batch-{batch_id}")
         try:
-            run_id = f"batch-{batch_id}"
-            valid = add_audit_columns(valid_rows(annotated), zones.dataset, run_date, run_id)
-            refused = add_quarantine_columns(refused_rows(annotated), run_id)
-            for rows, root in ((valid, zones.valid), (refused, zones.quarantine)):
-                rows.write.mode("overwrite").parquet(f"{root}/dt={run_date}/batch={batch_id}")
+            counts = write_outcomes(annotated, zones, result, options, part)
         finally:
             annotated.unpersist()
+        for name, value in counts.items():
+            setattr(result, name, int(value))
+        result.status = SUCCESS if result.quarantined == 0 else PARTIAL
+        write_records(audit_row(batch.sparkSession, result), zones.audit, part)
 
     return (
         read_landing_stream(spark, folder, contract)

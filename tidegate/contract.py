@@ -87,6 +87,10 @@ class EvolutionPolicy:
     block_renames: bool = True
     on_incompatible_change: str = "quarantine_and_alert"
 
+    def __post_init__(self) -> None:
+        if self.on_incompatible_change != "quarantine_and_alert":
+            raise ValueError(f"cannot {self.on_incompatible_change!r} an incompatible batch, only quarantine it")
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -185,7 +189,7 @@ class Contract:
                         name=c["name"],
                         type=parse_type(c.get("type", "string")),
                         mandatory=required,
-                        reject_if_null=required and c.get("reject_if_null", True),
+                        reject_if_null=c.get("reject_if_null", required or not c.get("nullable", True)),
                         format=c.get("format"),
                         allowed_values=tuple(str(v) for v in c.get("allowed_values") or ()),
                         regex=c.get("regex"),

@@ -107,7 +107,7 @@ def judge(df: DataFrame, contract: Contract) -> DataFrame:
     if CORRUPT_COLUMN in df.columns:
         reasons.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("CORRUPT_CSV_ROW")))
     for c in contract.columns:
-        if c.reject_if_null:
+        if c.reject_if_null and (c.mandatory or c.name in present):
             reasons.append(F.when(F.col(_quoted(c.name)).isNull(), F.lit(f"NULL_MANDATORY:{c.name}")))
     for c in cast_columns:
         failed = F.col(_quoted(c.name)).isNull() & F.col(_quoted(_TEXT + c.name)).isNotNull()

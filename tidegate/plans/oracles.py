@@ -710,6 +710,12 @@ def all_oracles() -> dict[str, str]:
             outcomes as (select reason is not null as s, reason is null and coalesce(not o_totalprice > 0, false) as d from annotated)
             select 'orders' as dataset, 'PARTIAL' as status, count(*) as read, count_if(s)::bigint as schema_rejected,
               count_if(d)::bigint as dq_failed, count_if(not s and not d)::bigint as valid from outcomes""",
+        "contract_table": f"""with {DELIVERED}, c as (select {_clean("c_mktsegment")} as c_mktsegment from delivered)
+            select c_mktsegment, count(*) as rows from c where c_mktsegment is not null group by all""",
+        "loan_fit": f"""with {FEATURES},
+            n as (select count(*) as train_rows from features where not {IS_TEST.format('loan_id')})
+            select unnest(['intercept', 'late_payment_ratio', 'missed_payment_count', 'emi_income_ratio', 'income', 'credit_score',
+              'loan_amount', 'tenure']) as feature, train_rows, true as optimal from n""",
         "file_rows": "select c_nationkey, count(*) as data_rows, 1::bigint as files from customer group by all",
         "file_verification": f"with {VERIFIED} select *, error_count = 0 as passed from counted",
         "raw_partition": """select o_orderkey, o_orderstatus, year(o_orderdate)::int as y from orders

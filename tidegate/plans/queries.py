@@ -30,6 +30,7 @@ from tidegate.plans import ingest, staging
 from tidegate.plans.workspace import new_folder
 from tidegate.sinks.zones import (
     Zones,
+    declare_contract_table,
     declare_table,
     manifest_records,
     write_csv,
@@ -627,6 +628,35 @@ def loan_model(spark: SparkSession, sf: str) -> DataFrame:
     return decided.select("loan_id", "default_probability", "prediction", "risk_score", "risk_tier", "decision")
 
 
+@query
+def loan_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the fit is at its optimum: for each coefficient the gradient of the penalised
+    likelihood over all training rows, against the spread of its terms."""
+    folder = new_folder(spark, "loan-features")
+    with_split(_features(spark, sf)).where(F.col("split") == "train").write.parquet(folder)
+    train = spark.read.parquet(folder)
+    model = fit(train)
+    weights = {"intercept": 0.0, **model.coefficients}
+    predicted = model.predict(train).withColumn("intercept", F.lit(1.0))
+    error = F.col("default_probability") - F.col("default_flag")
+    spread = F.col("default_probability") * (1 - F.col("default_probability"))
+    sums = predicted.agg(
+        F.count("*").alias("train_rows"),
+        F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("feature"),
+                    (F.sum(error * F.col(name)) + F.lit(w)).alias("gradient"),
+                    F.sqrt(F.sum(spread * F.col(name) * F.col(name))).alias("deviation"),
+                )
+                for name, w in weights.items()
+            ]
+        ).alias("parts"),
+    )
+    parts = sums.select("train_rows", F.inline("parts"))
+    return parts.select("feature", "train_rows", (F.abs("gradient") <= 0.01 * F.col("deviation")).alias("optimal"))
+
+
 @query
 def loan_features_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The same features from CSV files in which some cells are missing."""
@@ -884,6 +914,25 @@ def raw_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def contract_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract document that names its database, table and a column that must not be NULL: the
+    valid rows by way of the table it declares."""
+    base = new_folder(spark, "contract")
+    document = {
+        "dataset": {"name": "customer", "database": "tidegate_raw", "table": "customer_" + base[-12:], "partition_col": "_dt"},
+        "mandatory_columns": [{"name": "c_custkey", "type": "bigint"}, {"name": "c_name", "type": "string"}],
+        "optional_columns": [{"name": "c_mktsegment", "type": "string", "nullable": False}, {"name": "joined", "type": "string"}],
+    }
+    contract = Contract.from_mapping(document)
+    zones = Zones(base, "customer")
+    delivered = delivered_customers(spark, sf).drop("c_acctbal")
+    ingest.ingest_frames([delivered], contract, zones, RUN_DATE)
+    name = declare_contract_table(spark, contract, zones, read_zone(spark, zones.valid).drop("dt").schema)
+    valid = spark.table(name).where(F.col("dt") == F.lit(RUN_DATE).cast("date"))
+    return valid.groupBy("c_mktsegment").agg(F.count("*").alias("rows"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """CSV files taken in by the stream, in both zones."""

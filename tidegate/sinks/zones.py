@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.contract import Contract
+
 
 @dataclass(frozen=True)
 class Zones:
@@ -74,6 +76,21 @@ def declare_table(
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def declare_contract_table(spark: SparkSession, contract: Contract, zones: Zones, schema: T.StructType) -> str:
+    """The valid zone under the database and table that the contract names; returns the full name.
+
+    The zone's folders are dates of ``dt``; a contract that asks for another column is refused.
+    """
+    if contract.partition_column.lstrip("_") != "dt":
+        raise ValueError(f"zones are partitioned by dt, not {contract.partition_column}")
+    name = f"`{contract.table or contract.name}`"
+    if contract.database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{contract.database}`")
+        name = f"`{contract.database}`.{name}"
+    declare_table(spark, name, zones.valid, schema)
+    return name
+
+
 def add_table_date(spark: SparkSession, table: str, root: str, run_date: str) -> None:
     """Register one date of a declared table without listing the others."""
     spark.sql(

@@ -136,15 +136,17 @@ def flag_orphans(
     flag: str = "_is_orphan",
     spread: str | None = None,
     min_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Every child row plus a boolean: is its non-NULL foreign key without a parent?"""
+    """Every child row plus a boolean: is its non-NULL foreign key without a parent?  ``hot`` is
+    the list of hot keys where the caller has it already."""
     parents = (
         parent.select(F.col(parent_key).alias(foreign_key))
         .where(F.col(foreign_key).isNotNull())
         .distinct()
         .withColumn(flag, F.lit(False))
     )
-    joined = salted_join(child, parents, [foreign_key], "left", spread=spread, min_rows=min_rows)
+    joined = salted_join(child, parents, [foreign_key], "left", hot=hot, spread=spread, min_rows=min_rows)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.col(foreign_key).isNotNull()))
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
@@ -34,6 +35,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> Da
     return counted.agg(F.count("*").alias(KEY_ROWS)).where(F.col(KEY_ROWS) >= min_rows)
 
 
+def hot_values(df: DataFrame, columns: Sequence[str], min_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
+    """For each of several single-column keys its most frequent values with their estimated counts.
+
+    All columns share one pass, which runs here; at most ``HOT_KEYS`` values per column come back.
+    """
+    if not columns:
+        return {}
+    top = df.agg(*[F.expr(f"approx_top_k(`{c}`, {HOT_KEYS}, {_TRACKED})").alias(f"_top{i}") for i, c in enumerate(columns)])
+    row = top.first()
+    out = {}
+    for i, c in enumerate(columns):
+        listed = [(e["item"], e["count"]) for e in row[i] or () if e["item"] is not None and e["count"] >= min_rows]
+        schema = T.StructType([T.StructField(c, df.schema[c].dataType), T.StructField(KEY_ROWS, T.LongType())])
+        out[c] = df.sparkSession.createDataFrame(listed, schema)
+    return out
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

@@ -39,6 +39,7 @@ from tidegate.operators.quality import (
     flag_orphans,
     unique_check,
 )
+from tidegate.operators.skew import hot_values
 from tidegate.sinks.zones import Zones, write_date, write_records
 from tidegate.sources.files import file_facts, read_manifests
 from tidegate.sources.landing import read_landing
@@ -123,15 +124,18 @@ def annotate(
         # Numbered once, at the scan: the joins below spread the rows of hot keys by it.
         judged = judged.withColumn(_SPREAD, F.monotonically_increasing_id())
         helpers.append(_SPREAD)
+    scanned = judged
     if options.unique_keys:
         judged = flag_duplicates(
             judged, options.unique_keys, "_is_repeated", among=judged.where(acceptable), spread=_SPREAD
         )
         checks.append(unique_check(options.unique_keys, "_is_repeated", options.unique_severity))
         helpers.append("_is_repeated")
+    # One pass finds the hot values of all foreign keys, over the rows as they come from the scan.
+    hot = hot_values(scanned, sorted({ref.column for ref in options.references}))
     for n, ref in enumerate(options.references):
         flag = f"_is_orphan_{n}"
-        judged = flag_orphans(judged, ref.parent, ref.column, ref.parent_column, flag, _SPREAD)
+        judged = flag_orphans(judged, ref.parent, ref.column, ref.parent_column, flag, _SPREAD, hot=hot[ref.column])
         checks.append(exists_check(ref.column, flag, ref.severity))
         helpers.append(flag)
 

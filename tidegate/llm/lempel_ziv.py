@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidegate.llm.shared import explode_batches
+from tidegate.llm.shared import explode_batches, join_hot, written
 
 WINDOW = 35
 GRAM = 8
@@ -104,7 +104,7 @@ def _boundary_windows(flagged: DataFrame, window: int) -> DataFrame:
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch | None]:
         def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
             parts = []
-            for key, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for key, text, places in zip(*[c.to_pylist() for c in batch.columns[:3]], strict=True):
                 words = words_of(text)
                 at = np.concatenate([np.arange(p // 256, p // 256 + p % 256 + 1) for p in places])
                 one, two = (Rolling(words, base)(at, at + window) for base in BASES)
@@ -150,17 +150,19 @@ def duplicate_spans(
         .where("n > 1")
         .select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
     )
-    hits = found.select("anchor", "key", "place").join(repeated, "anchor")
-    places = hits.groupBy("key").agg(
+    hits = join_hot(found.select("anchor", "key", "place"), repeated, ["anchor"])
+    grouped = hits.groupBy("key").agg(
         F.collect_set(F.when(~F.col("mixed"), F.col("place"))).alias("whole"),
         F.collect_set(F.when(F.col("mixed"), F.col("place"))).alias("mixed"),
     )
-    boundary = texts.join(places.where(F.size("mixed") > 0).select("key", "mixed"), "key").select("key", "text", "mixed")
-    windows = _boundary_windows(boundary, window)
+    places = written(grouped, "blocks")
+    # Both joins with the texts take the same columns, so that Spark deals the texts out only once.
+    boundary = join_hot(keyed, places.where(F.size("mixed") > 0).select("key", "mixed"), ["key"])
+    windows = _boundary_windows(boundary.select("key", "text", "mixed", "row"), window)
     again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    starts = windows.join(again, ["w1", "w2"]).groupBy("key").agg(F.collect_set("start").alias("starts"))
+    starts = join_hot(windows, again, ["w1", "w2"]).groupBy("key").agg(F.collect_set("start").alias("starts"))
     flags = places.select("key", "whole").join(starts, "key", "left")
-    return _cut(keyed.join(flags, "key", "left").select("row", "text", "whole", "starts"), window)
+    return _cut(join_hot(keyed, flags, ["key"], "left").select("row", "text", "whole", "starts"), window)
 
 
 def _cut(joined: DataFrame, window: int) -> DataFrame:

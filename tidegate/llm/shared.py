@@ -85,3 +85,14 @@ def share_of(key: Column, rows: int, bound: int) -> Column:
     if rows <= bound:
         return F.lit(True)
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int((1 << 30) * bound / rows))
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join whose left side may have hot keys and whose right side comes from an aggregation by them.
+
+    The right side would bring its partitioning along, and Spark splits skewed partitions only where
+    both sides are dealt out for the join itself.  A second key, a hash of the first, makes it so.
+    """
+    mixed = F.xxhash64(F.lit(7), *keys)
+    joined = left.withColumn("mixed_", mixed).join(right.withColumn("mixed_", mixed), [*keys, "mixed_"], how)
+    return joined.drop("mixed_")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidegate.llm.shared import explode_batches
+from tidegate.llm.shared import explode_batches, join_hot
 
 DAMPING = 0.9
 THRESHOLD = 0.35
@@ -279,22 +279,22 @@ def importances(pages: DataFrame, url: str, page: str) -> tuple[DataFrame, DataF
 
     rows = explode_batches(pages.select(host_key(F.col(url)).alias("host"), F.col(page).alias("page")), start, "host long, path long, kind byte, feature long")
     counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
-    everywhere = counted.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"))
+    everywhere = counted.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n")).withColumn("host", F.lit(0).cast("long"))
 
-    def entropies(counts: DataFrame, *tree: str) -> DataFrame:
-        of = counts.groupBy(*tree, "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("c"))
+    def entropies(counts: DataFrame) -> DataFrame:
+        of = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("c"))
         even = F.when(F.col("m") > 1, F.greatest(F.lit(0.0), 1 - F.col("c") / (F.col("m") * F.log("m")))).otherwise(1.0)
-        by_path = of.groupBy(*tree, "path").agg(
+        by_path = of.groupBy("host", "path").agg(
             F.max("m").alias("m"),
             F.coalesce(F.max(F.when(F.col("kind") == 0, even)), F.lit(1.0)).alias("style"),
             F.coalesce(F.max(F.when(F.col("kind") == 1, even)), F.lit(1.0)).alias("content"),
         )
         enough = by_path.where(F.col("m") >= MIN_PAGES)
-        size = enough.groupBy(*tree).agg(F.max("m").alias("pages"))
-        both = enough.join(size, list(tree)) if tree else enough.join(F.broadcast(size))
-        return both.where(F.col("m") >= MIN_SHARE * F.col("pages")).select(*tree, "path", "style", "content")
+        size = enough.groupBy("host").agg(F.max("m").alias("pages"))
+        both = enough.join(size, "host").where(F.col("m") >= MIN_SHARE * F.col("pages"))
+        return both.select("host", "path", "style", "content")
 
-    return entropies(counted, "host"), entropies(everywhere)
+    return entropies(counted), entropies(everywhere)
 
 
 def main_text(
@@ -327,5 +327,5 @@ def main_text(
 
         return each
 
-    joined = ready.join(trees, "host", "left").select("row", "page", "tree")
+    joined = join_hot(ready, trees, ["host"], "left").select("row", "page", "tree")
     return explode_batches(joined, start, StructType([joined.schema["row"], StructField("text", StringType())]))

@@ -82,7 +82,7 @@ def located(text: Column, pattern: str) -> Column:
 
         def in_runs(all_steps: Column) -> Column:
             runs = F.transform(
-                F.sequence(F.lit(0), F.expr("0") + ((F.size(all_steps) - 1) / RUN).cast("int")),
+                F.sequence(F.lit(0), ((F.size(all_steps) - 1) / RUN).cast("int")),
                 lambda b: F.slice(all_steps, b * RUN + 1, F.lit(RUN)),
             )
 

@@ -48,7 +48,7 @@ def learn(vectors: np.ndarray, k: int = 10, cover: float = COVER, rounds: int =
     mean = vectors.mean(0)
     centred = vectors - mean
     dim = vectors.shape[1]
-    axes = np.linalg.svd(centred, full_matrices=True)[2].T if len(vectors) >= dim else np.eye(dim)
+    axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1]
     random = np.random.default_rng(5)
     bits = max(16, -(-dim // 8) * 8)
     while axes.shape[1] < bits:
@@ -74,22 +74,21 @@ _COUNTS = np.bitwise_count(np.arange(256, dtype=np.uint8))
 
 
 class Block:
-    """The rows of a block with an index of each substring: rows in order of its value, and bounds."""
+    """The rows of a block with an index of each substring: rows in order of its value, and bucket sizes."""
 
     def __init__(self, index: Index, ids: np.ndarray, vectors: np.ndarray):
         self.index, self.ids, self.vectors = index, ids, vectors
         self.codes = index.codes(vectors)
-        self.order = np.argsort(self.codes, axis=0, kind="stable")
-        values = np.arange(257)
-        self.bounds = [np.searchsorted(self.codes[self.order[:, j], j], values) for j in range(index.substrings)]
+        self.order = np.argsort(self.codes, axis=0, kind="stable").T.copy()
+        self.sizes = [np.bincount(self.codes[:, j], minlength=256) for j in range(index.substrings)]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Positions of all codes within ``radius`` bits."""
         ball = radius // self.index.substrings
         seen = np.zeros(len(self.ids), bool)
         for j, value in enumerate(code):
-            for bucket in np.flatnonzero(_COUNTS[np.arange(256) ^ value] <= ball):
-                seen[self.order[self.bounds[j][bucket] : self.bounds[j][bucket + 1], j]] = True
+            probed = _COUNTS[np.arange(256) ^ value] <= ball
+            seen[self.order[j][np.repeat(probed, self.sizes[j])]] = True
         found = np.flatnonzero(seen)
         return found[np.bitwise_count(self.codes[found] ^ code).sum(1) <= radius]
 

@@ -13,6 +13,7 @@ from tidegate.plans.ingest import (
     SUCCESS,
     Options,
     Reference,
+    ingest_deliveries,
     ingest_delivery,
     ingest_files,
     ingest_frames,
@@ -230,6 +231,26 @@ def test_delivery_is_verified_before_it_is_read(spark, tmp_path):
     assert (result.status, result.valid) == (SUCCESS, 2)
 
 
+def test_several_deliveries_at_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    contracts = [Contract.define(n, mandatory="id BIGINT, department STRING") for n in ("one", "two", "three", "four")]
+    for name, rows in (("one", 2), ("two", 3), ("three", 2)):
+        file = landing / name / f"{name}_20240115.csv"
+        write(file, "1,HR", "2,HR", header="id,department")
+        fact = file_facts(spark, str(landing / name), file.name).first()
+        claim = {"checksum": fact["checksum"], "expected_rows": rows, "file_size_bytes": file.stat().st_size}
+        if name != "three":
+            (landing / name / f"{name}_20240115_manifest.json").write_text(json.dumps(claim))
+    found = ingest_deliveries(spark, str(landing), contracts, str(tmp_path / "lake"), DAY)
+    assert {n: (r.status, r.errors) for n, r in found.items()} == {
+        "one": (SUCCESS, []),
+        "two": (FAILED, ["row_count_match: expected=3, actual=2"]),
+        "three": (FAILED, ["manifest_present: manifest not found"]),
+        "four": (FAILED, ["file_arrived: file not found"]),
+    }
+    assert read_partition(spark, Zones(str(tmp_path / "lake"), "one").valid, DAY).count() == 2
+
+
 def test_a_failing_job_is_reported(spark, tmp_path):
     landing = tmp_path / "landing"
     zones = Zones(str(tmp_path / "lake"), "people")

@@ -369,6 +369,46 @@ def ingest_delivery(
     return result
 
 
+def ingest_deliveries(
+    spark: SparkSession,
+    landing: str,
+    contracts: Sequence[Contract],
+    base: str,
+    run_date: str,
+    options: Options = Options(),
+    run_id: str | None = None,
+) -> dict[str, RunResult]:
+    """The daily job for several datasets, by name: all their files are verified in one join, those
+    that pass are ingested, each into its zones below ``base``.  One that fails stops no other."""
+    stamp = f"{date.fromisoformat(run_date):%Y%m%d}"
+    run_id = run_id or new_run_id()
+    landing = landing.rstrip("/")
+    folders = [f"{landing}/{c.name}" for c in contracts if exists(spark, f"{landing}/{c.name}")]
+    found: dict[str, list[str]] = {}
+    if folders:
+        wanted = [(c.name, f"{c.name}_{stamp}.csv") for c in contracts]
+        expected = spark.createDataFrame(wanted, "dataset_name STRING, file_name STRING")
+        facts = file_facts(spark, folders, f"*_{stamp}.csv")
+        claims = read_manifests(spark, folders, f"*_{stamp}_manifest.json")
+        for row in verify_files(expected, facts, claims).select("dataset_name", "errors").collect():
+            found.setdefault(row.dataset_name, []).extend(row["errors"])
+    results = {}
+    for contract in contracts:
+        zones = Zones(base, contract.name)
+        errors = found.get(contract.name, ["file_arrived: file not found"])
+        try:
+            if not errors:
+                path = f"{landing}/{contract.name}/{contract.name}_{stamp}.csv"
+                results[contract.name] = ingest_files(spark, path, contract, zones, run_date, None, options, run_id)
+                continue
+        except Exception as e:
+            errors = [f"{type(e).__name__}: {e}"]
+        failed = RunResult(contract.name, run_date, run_id, FAILED, errors=errors)
+        write_records(audit_row(spark, failed), zones.audit, run_date)
+        results[contract.name] = failed
+    return results
+
+
 def _delivery_errors(spark: SparkSession, folder: str, dataset: str, name: str) -> list[str]:
     if not exists(spark, folder):
         return ["file_arrived: file not found"]

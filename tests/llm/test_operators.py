@@ -48,10 +48,11 @@ class TestSentencepiece:
     def test_table_is_begun_anew(self, monkeypatch):
         monkeypatch.setattr(sentencepiece_codec, "TABLE_CHARS", 8)
         with open(MODEL, "rb") as file:
-            each = sentencepiece_codec.codec(file.read())
+            table = sentencepiece_codec.Table(file.read())
         sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-        text = "alpha beta gamma alpha beta"
-        assert each(text) == (sp.encode(text, add_eos=True), text)
+        for text in ("alpha beta gamma alpha beta", "delta alpha", " two  spaces ", "beta"):
+            ids, decoded = table.code([text, None])
+            assert [i.tolist() for i in ids] == [sp.encode(text, add_eos=True), [2]] and decoded == [text, ""]
 
 
 class TestLeaks:

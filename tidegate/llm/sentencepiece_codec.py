@@ -10,16 +10,22 @@ position of the corpus for one global table would shuffle several times the inpu
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from array import array
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidegate.llm.shared import map_texts
+from tidegate.llm.shared import explode_batches
 
 MARK = "▁"
 #: Characters of chunks that a task's table holds before it is begun anew.
-TABLE_CHARS = 16_000_000
+TABLE_CHARS = 8_000_000
 
 
 def check_model(model: bytes) -> None:
@@ -35,42 +41,47 @@ def check_model(model: bytes) -> None:
             raise ValueError("this model normalises characters")
 
 
-def codec(model: bytes) -> Callable[[str | None], tuple[list[int], str]]:
-    """A function from a text (None: empty) to its ids with the end id, and the decoded text."""
-    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-    chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
-    lone, end = sp.piece_to_id(MARK), sp.eos_id()
-    known: dict[str, tuple[list[int], str]] = {}
-    held = 0
-
-    def segment(chunk: str) -> tuple[list[int], str]:
-        nonlocal held
-        if chunk == MARK:
-            ids = [lone]
-        else:  # the marker in front is the one that encode adds by itself
-            ids = sp.encode(chunk[1:].replace(MARK, " "))
-        # decode drops one marker in front, so the chunk's own comes back as a space here
-        found = ids, " " + sp.decode(ids)
-        held += len(chunk)
-        if held > TABLE_CHARS:
-            known.clear()
-            held = len(chunk)
-        known[chunk] = found
-        return found
-
-    def each(text: str | None) -> tuple[list[int], str]:
-        if not text:
-            return [end], ""
-        ids: list[int] = []
-        parts: list[str] = []
-        for chunk in chunks(MARK + text.replace(" ", MARK)):
-            found = known.get(chunk) or segment(chunk)
-            ids += found[0]
-            parts.append(found[1])
-        ids.append(end)
-        return ids, "".join(parts)[1:]
+class Table:
+    """Ids (as bytes of 32-bit numbers) and decoded text of each distinct chunk, for one task."""
 
-    return each
+    def __init__(self, model: bytes):
+        self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.runs = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+        self.lone, self.end = [self.sp.piece_to_id(MARK)], array("i", [self.sp.eos_id()]).tobytes()
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
+        self.held = 0
+
+    def chunks(self, text: str | None) -> list[str]:
+        """The chunks of a text, each without its first marker, which encode adds by itself."""
+        if not text:
+            return []
+        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+            return [c[1:] for c in self.runs(MARK + text.replace(" ", MARK))]
+        return text.split(" ")  # every chunk is one marker and a word
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Segment the chunks that the table lacks, all at once."""
+        if self.held > TABLE_CHARS:
+            self.ids.clear()
+            self.texts.clear()
+            self.held = 0
+        new = list(set(chunks).difference(self.ids))
+        if not new:
+            return
+        ids = self.sp.encode([c.replace(MARK, " ") for c in new], num_threads=1)
+        ids = [i if c else self.lone for c, i in zip(new, ids, strict=True)]
+        self.ids.update(zip(new, (array("i", i).tobytes() for i in ids), strict=True))
+        # decode drops one marker in front: the chunk's own.
+        self.texts.update(zip(new, self.sp.decode(ids, num_threads=1), strict=True))
+        self.held += sum(map(len, new)) + 8 * len(new)
+
+    def code(self, texts: Sequence[str | None]) -> tuple[list[np.ndarray], list[str]]:
+        """Ids with the end id, and the decoded text, of each text (None: empty)."""
+        split = [self.chunks(t) for t in texts]
+        self.learn(chain.from_iterable(split))
+        ids = [np.frombuffer(b"".join((*map(self.ids.__getitem__, c), self.end)), np.int32) for c in split]
+        return ids, [" ".join(map(self.texts.__getitem__, c)) for c in split]
 
 
 def encode_decode(docs: DataFrame, model_file: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -84,4 +95,20 @@ def encode_decode(docs: DataFrame, model_file: str, text: str = "text", keep: Se
     with open(model_file, "rb") as file:
         model = file.read()
     check_model(model)
-    return map_texts(docs, list(keep or docs.columns), text, lambda: codec(model), "ids array<int>, decoded string")
+    columns = [F.col(f"`{c}`") for c in keep or docs.columns]
+    source = docs.select(F.struct(*columns).alias("row"), F.col(f"`{text}`").alias("text"))
+    out = StructType([source.schema["row"], *StructType.fromDDL("ids array<int>, decoded string")])
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        table = Table(model)
+
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            ids, decoded = table.code(batch.column(1).to_pylist())
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
+            arrays = [batch.column(0), lists, pa.array(decoded, pa.string())]
+            return pa.RecordBatch.from_arrays(arrays, names=["row", "ids", "decoded"])
+
+        return each
+
+    return explode_batches(source, start, out)

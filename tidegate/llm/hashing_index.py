@@ -24,7 +24,7 @@ SAMPLE = 8_000
 ROW_BLOCK = 8_192
 QUERY_BLOCK = 4_096
 #: Share of true neighbours that the learned radius covers in the sample.
-COVER = 0.97
+COVER = 0.99
 
 
 @dataclass(frozen=True)

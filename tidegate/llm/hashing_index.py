@@ -9,7 +9,6 @@ found are verified on all bits, and the floats of what remains give the order.
 
 from __future__ import annotations
 
-
 from dataclasses import dataclass
 
 import numpy as np

@@ -309,6 +309,15 @@ class TestSiteStyle:
         assert self.text(deep) == "x"
         assert self.text("<p>" + "y " * 200_000) == " ".join(["y"] * 200_000)
 
+    def test_text_after_and_noise_below_deep_parts(self):
+        down, up = "<div>" * 60, "</div>" * 60
+        assert self.text(f"<div><article>{down}{up}<p>rest</p></article></div><p>out</p>") == "rest"
+        assert self.text(f"<div><article>{down}<nav>menu</nav><p>in</p>{up}<p>rest</p></article></div>") == "in rest"
+        assert self.text(f"<div>{down}<div class='comments'>reader</div><p>in</p>{up}</div>") == "in"
+
+    def test_many_end_tags_in_a_deep_part(self):
+        assert self.text("<table><td>" + "<i>" * 100_000 + "</div>" * 100_000 + "x") == "x"
+
 
 class TestNeighbours:
     def test_odd_vectors(self, spark):

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import xxhash
@@ -32,7 +32,6 @@ THRESHOLD = 0.35
 #: Pages that a node needs before its importance counts, and the share of its tree's pages.
 MIN_PAGES = 8
 MIN_SHARE = 0.01
-DEPTH = 48
 
 # Element names of HTML and words that name a part's role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -101,12 +100,16 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
     """The tree of a page and its pieces in order: (element, text), or (element, None) for a break.
 
     Unclosed and stray tags are mended as browsers do for paragraphs, list items and cells; a tag cut
-    off at the end is dropped.
+    off at the end is dropped.  Elements nest as deep as they come; the depths of the open elements
+    of each tag are at hand, so an end tag costs as much as it closes.
     """
     page = page or ""
     root = Node("", "", None, False)
     pieces: list[tuple[Node, str | None]] = []
-    at, here, depth, size = 0, root, 0, len(page)
+    at, here, size = 0, root, len(page)
+    opened: list[Node] = []
+    depths: dict[str, list[int]] = {}
+    blocks: list[int] = []
 
     def add(raw: str) -> None:
         if raw:
@@ -114,18 +117,26 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
             pieces.append((here, value))
             here.text.append(value)
 
-    def close(tags: Sequence[str], until: Callable[[Node], bool]) -> bool:
-        nonlocal here, depth
-        node, steps = here, 0
-        while node is not root and node.tag not in tags:
-            if until(node):
-                return False
-            node, steps = node.parent, steps + 1
-        if node is root:
+    def deepest(tags: Iterable[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=-1)
+
+    def close(tags: Sequence[str], barrier: int) -> bool:
+        """Closes the deepest open element of these tags, unless one at the depth ``barrier`` lies deeper."""
+        nonlocal here
+        target = deepest(tags)
+        if target < 0 or target < barrier:
             return False
-        here, depth = node.parent, depth - steps - 1
+        while len(opened) > target:
+            tag = opened.pop().tag
+            depths[tag].pop()
+            if tag in BLOCK and tag != "p":
+                blocks.pop()
+        here = opened[-1] if opened else root
         return True
 
+    def last_block() -> int:
+        return blocks[-1] if blocks else -1
+
     while at < size:
         m = TOKEN.search(page, at)
         if not m:
@@ -141,17 +152,21 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
         tag = tag.lower()
         if m["end"] or m["end2"]:
             block = tag in BLOCK
-            if close((tag,), (lambda n: n.tag in ("td", "th", "table") and tag not in ("tr", "tbody", "thead", "table")) if block else (lambda n: n.tag in BLOCK)) and block:
+            if not block:
+                barrier = max(last_block(), deepest(("p",)))
+            else:
+                barrier = -1 if tag in ("tr", "tbody", "thead", "table") else deepest(("td", "th", "table"))
+            if close((tag,), barrier) and block:
                 pieces.append((here, None))
             continue
         if tag in BLOCK:
             pieces.append((here, None))
             if tag == "body":
-                close(("head",), lambda n: n.tag == "body")
+                close(("head",), deepest(("body",)))
             if tag not in ("br", "hr"):
-                close(("p",), lambda n: n.tag in BLOCK and n.tag != "p")
+                close(("p",), last_block())
             if tag in CLOSES:
-                close(CLOSES[tag], lambda n: n.tag in ("ul", "ol", "dl", "table", "select"))
+                close(CLOSES[tag], deepest(("ul", "ol", "dl", "table", "select")))
         rest = m["rest"] or m["rest2"] or ""
         if tag in VOID:
             continue
@@ -165,11 +180,14 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
         if rest.endswith("/") and tag not in BLOCK:
             continue
         label, noise = _label(tag, rest)
-        if depth < DEPTH or tag in ("article", "main"):
-            noise = noise and tag not in ("html", "body", "main") or tag in NOISE_TAGS
-            node = Node(tag, label, here, noise)
-            here.children.append(node)
-            here, depth = node, depth + 1
+        noise = noise and tag not in ("html", "body", "main") or tag in NOISE_TAGS
+        node = Node(tag, label, here, noise)
+        here.children.append(node)
+        here = node
+        depths.setdefault(tag, []).append(len(opened))
+        if tag in BLOCK and tag != "p":
+            blocks.append(len(opened))
+        opened.append(node)
     return root, pieces
 
 

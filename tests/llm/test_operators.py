@@ -315,6 +315,31 @@ class TestSiteStyle:
         assert self.text(f"<div><article>{down}<nav>menu</nav><p>in</p>{up}<p>rest</p></article></div>") == "in rest"
         assert self.text(f"<div>{down}<div class='comments'>reader</div><p>in</p>{up}</div>") == "in"
 
+    @pytest.mark.parametrize(
+        ("page", "want"),
+        [
+            ("<div class='content-sidebar-wrap'><article><p>a</p></article><div class='sidebar'>s</div></div>", "a"),
+            ("<div id='page' class='has-sidebar'><main><p>a</p></main></div>", "a"),
+            ("<article class='post comments-open'><p>a</p><div class='comments'><article>b</article></div></article>", "a"),
+            ("<section id='discussion'><p>a</p><div class='share'>s</div></section>", "a"),
+            ("<div class='has-sidebar'><div><div class='no-sidebar'><p>a</p><div class='ad'>b</div></div></div></div>", "a"),
+            ("<div class='has-sidebar'>" * 500 + "a", "a"),
+            ("<main><section id='discussion'><p>a long text</p><div class='share'>s</div></section></main>", "a long text"),
+            ("<article><div class='has-sidebar'><p>a long text</p><p class='ad'>b</p></div></article>", "a long text"),
+        ],
+    )
+    def test_wrappers_named_after_parts(self, page, want):
+        assert self.text(page) == want
+
+    def test_the_tree_overrules_names(self, spark):
+        page = (
+            "<body><div class='menu'>Home and contact</div><p>intro {0}</p>"
+            "<section id='discussion'><p>word{0} is text {0}</p></section></body>"
+        )
+        pages = spark.createDataFrame([(i, "http://a.example/", page.format(i)) for i in range(30)], "page_id long, url string, html string")
+        got = {r.row.page_id: r.text for r in site_style.main_text(pages).collect()}
+        assert got[5] == "intro 5 word5 is text 5"
+
     def test_many_end_tags_in_a_deep_part(self):
         assert self.text("<table><td>" + "<i>" * 100_000 + "</div>" * 100_000 + "x") == "x"
 

@@ -8,8 +8,9 @@ same on every page is template, what differs is content.  A branch of a page has
 
     leaf:  content(E)        inner:  (1 - g**k) * presentation(E) + g**k * mean over its k parts
 
-and is removed where that is low.  Elements that name their own role have it as a prior: 0 for
-navigation, footers, adverts, forms, comments and the like, 1 for running text inside an article.
+and is removed where that is low.  Element names are a prior that rules: 0 for navigation, footers,
+forms and the like, 1 for running text inside an article.  Words in classes, ids and roles are a weak
+one, because wrappers are named after what they hold or lack: see ``extract``.
 Hosts with few pages use the tree of all hosts.
 """
 
@@ -29,6 +30,8 @@ from tidegate.llm.shared import explode_batches, join_hot
 
 DAMPING = 0.9
 THRESHOLD = 0.35
+#: What a name weighs against: a named branch keeps this share of the importance that the tree gives it.
+NAMED = 0.5
 #: Pages that a node needs before its importance counts, and the share of its tree's pages.
 MIN_PAGES = 8
 MIN_SHARE = 0.01
@@ -70,10 +73,12 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("children", "in_article", "label", "noise", "parent", "path", "tag", "text")
+    __slots__ = ("children", "in_article", "label", "named", "noise", "parent", "path", "tag", "text")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, noise: bool):
-        self.tag, self.label, self.parent, self.noise = tag, label, parent, noise
+    def __init__(self, tag: str, label: str, parent: Node | None, named: bool):
+        self.tag, self.label, self.parent = tag, label, parent
+        self.noise = tag in NOISE_TAGS
+        self.named = named and not self.noise and tag not in ("html", "body", "main")
         self.children: list[Node] = []
         self.text: list[str] = []
         self.path = xxhash.xxh64_intdigest(label, parent.path if parent else 0)
@@ -179,9 +184,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str | None]]]:
             continue
         if rest.endswith("/") and tag not in BLOCK:
             continue
-        label, noise = _label(tag, rest)
-        noise = noise and tag not in ("html", "body", "main") or tag in NOISE_TAGS
-        node = Node(tag, label, here, noise)
+        label, named = _label(tag, rest)
+        node = Node(tag, label, here, named)
         here.children.append(node)
         here = node
         depths.setdefault(tag, []).append(len(opened))
@@ -225,14 +229,94 @@ def _signed(x: int) -> int:
 Tree = dict[int, tuple[float, float]]
 
 
+def _wrappers(nodes: list[Node]) -> set[int]:
+    """Elements that are or hold an article or main; not those of an article inside another, as comments are."""
+    out: set[int] = set()
+    inside: set[int] = set()
+    for node in nodes:
+        above = node.parent
+        if above is not None and id(above) in inside:
+            inside.add(id(node))
+            continue
+        if node.noise:
+            inside.add(id(node))
+        elif node.tag in ("article", "main"):
+            if node.tag == "article":
+                inside.add(id(node))
+            up: Node | None = node
+            while up is not None and id(up) not in out:
+                out.add(id(up))
+                up = up.parent
+    return out
+
+
+def _small_parts(nodes: list[Node]) -> set[int]:
+    """Elements in an article or main that hold less than half of its text."""
+    size: dict[int, int] = {}
+    for node in reversed(nodes):
+        own = sum(len(t) - t.count(" ") for t in node.text)
+        size[id(node)] = 0 if node.noise else own + sum(size[id(c)] for c in node.children)
+    out: set[int] = set()
+    whole: dict[int, int] = {}
+    for node in nodes:
+        if node.parent is not None and node.parent.in_article:
+            whole[id(node)] = whole[id(node.parent)]
+            if 2 * size[id(node)] < whole[id(node)]:
+                out.add(id(node))
+        elif node.in_article:
+            whole[id(node)] = size[id(node)]
+        if node.tag == "article":
+            whole[id(node)] = size[id(node)]
+    return out
+
+
 def extract(page: str | None, host_tree: Tree, all_tree: Tree, threshold: float = THRESHOLD) -> str:
-    """The main text of a page: pieces of branches that stay, blocks joined by one space."""
+    """The main text of a page: pieces of branches that stay, blocks joined by one space.
+
+    A word in a class, id or role that names a part beside the text never removes an element that is
+    or holds an article or main.  Inside of one it removes what holds less than half of its text.
+    The importance of all others counts NAMED times if the tree knows them, and 0 if not; where that
+    leaves a page without any text, the outermost of the unknown ones stay.
+    """
     root, pieces = parse(page)
     nodes = list(_walk(root))
+    wrappers = _wrappers(nodes)
+    named = {id(n) for n in nodes if n.named and id(n) not in wrappers}
+    firm = _small_parts(nodes) & named
+
+    def lifted(levels: int) -> tuple[str, int]:
+        return _text(nodes, pieces, named, firm, host_tree, all_tree, threshold, levels)
+
+    text, nested = lifted(0)
+    if text or not nested:
+        return text
+    low, high = 1, nested
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if lifted(middle)[0] else (middle + 1, high)
+    return lifted(low)[0]
+
+
+def _text(
+    nodes: list[Node],
+    pieces: list[tuple[Node, str | None]],
+    named: set[int],
+    firm: set[int],
+    host_tree: Tree,
+    all_tree: Tree,
+    threshold: float,
+    levels: int,
+) -> tuple[str, int]:
+    """The text that stays, and how deep elements with a name and unknown to the tree are nested.
+
+    Names of the outermost ``levels`` of such elements don't count.
+    """
     importance: dict[int, float] = {}
+    unseen: set[int] = set()
     for node in reversed(nodes):
         path = _signed(node.path)
-        style, content = host_tree.get(path) or all_tree.get(path) or (1.0, 1.0)
+        judged = host_tree.get(path) or all_tree.get(path)
+        style, content = judged or (1.0, 1.0)
         if node.noise:
             importance[id(node)] = 0.0
             continue
@@ -240,22 +324,33 @@ def extract(page: str | None, host_tree: Tree, all_tree: Tree, threshold: float
         if any(t and not t.isspace() for t in node.text):
             parts.append(content)
         if not node.children:
-            importance[id(node)] = parts[0] if parts else 1.0
+            value = parts[0] if parts else 1.0
         else:
             kept = DAMPING ** len(parts)
-            importance[id(node)] = (1 - kept) * style + kept * sum(parts) / len(parts)
+            value = (1 - kept) * style + kept * sum(parts) / len(parts)
+        if id(node) in named:
+            if id(node) in firm:
+                value = 0.0
+            elif judged:
+                value *= NAMED
+            else:
+                value = value if levels else 0.0
+                unseen.add(id(node))
+        importance[id(node)] = value
     has_article = any(n.tag in ("article", "main") and not n.noise for n in nodes)
     stays: dict[int, bool] = {}
+    level: dict[int, int] = {}
     for node in nodes:
+        level[id(node)] = (level[id(node.parent)] if node.parent else 0) + (id(node) in unseen)
         above = node.parent is None or stays[id(node.parent)]
         if node.parent is None or node.tag in ("html", "body"):
             own = True
         elif node.noise or (node.tag == "header" and not node.parent.in_article):
             own = False
-        elif node.in_article and (node.tag in RUNNING or node.tag not in BLOCK):
+        elif id(node) not in named and node.in_article and (node.tag in RUNNING or node.tag not in BLOCK):
             own = True
         else:
-            own = importance[id(node)] >= threshold
+            own = importance[id(node)] >= threshold and level[id(node)] <= levels
         stays[id(node)] = above and own
     blocks: list[list[str]] = [[]]
     for node, text in pieces:
@@ -264,7 +359,7 @@ def extract(page: str | None, host_tree: Tree, all_tree: Tree, threshold: float
         elif stays[id(node)] and (node.in_article or not has_article):
             blocks[-1].append(text)
     joined = (" ".join("".join(b).split()) for b in blocks if b)
-    return " ".join(x for x in joined if x)
+    return " ".join(x for x in joined if x), max(level.values())
 
 
 def host_key(url: Column) -> Column:

@@ -340,6 +340,16 @@ class TestSiteStyle:
         got = {r.row.page_id: r.text for r in site_style.main_text(pages).collect()}
         assert got[5] == "intro 5 word5 is text 5"
 
+    def test_a_box_on_few_pages_of_a_large_host_is_judged(self, spark):
+        page = "<body><div class='x'><p>word{0} is text {0}</p></div>{1}</body>"
+        box = "<div class='box'>Read our terms before you order</div>"
+        pages = [(i, "http://a.example/", page.format(i, box if i < 12 else "")) for i in range(1500)]
+        # Elsewhere the same path differs from page to page, so the tree of all hosts would keep it.
+        pages += [(i, f"http://b{i}.example/", f"<body><div class='x'><p>w{i}</p></div><div class='box'>own words {i}</div></body>") for i in range(2000, 2400)]
+        table = spark.createDataFrame(pages, "page_id long, url string, html string")
+        got = {r.row.page_id: r.text for r in site_style.main_text(table).collect()}
+        assert got[5] == "word5 is text 5" and got[2000] == "w2000 own words 2000"
+
     def test_many_end_tags_in_a_deep_part(self):
         assert self.text("<table><td>" + "<i>" * 100_000 + "</div>" * 100_000 + "x") == "x"
 

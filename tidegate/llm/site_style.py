@@ -24,17 +24,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidegate.llm.shared import explode_batches, join_hot
+from tidegate.llm.shared import explode_batches, join_hot, written
 
 DAMPING = 0.9
 THRESHOLD = 0.35
 #: What a name weighs against: a named branch keeps this share of the importance that the tree gives it.
 NAMED = 0.5
-#: Pages that a node needs before its importance counts, and the share of its tree's pages.
+#: Pages that a node needs before its importance counts.
 MIN_PAGES = 8
-MIN_SHARE = 0.01
 
 # Element names of HTML and words that name a part's role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -72,6 +71,10 @@ OPEN_END = re.compile(r"<[a-zA-Z/!?]")
 WORDS = re.compile(r"[a-z]+")
 
 
+#: Marks rows that say to which shape of page a path belongs, beside kinds 0 and 1 of ``features``.
+SHAPE = 2
+
+
 class Node:
     __slots__ = ("children", "in_article", "label", "named", "noise", "parent", "path", "tag", "text")
 
@@ -368,46 +371,63 @@ def host_key(url: Column) -> Column:
     return F.xxhash64(F.regexp_extract(address, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def importances(pages: DataFrame, url: str, page: str) -> tuple[DataFrame, DataFrame]:
-    """Importance of presentation and content of the nodes of each host's tree and of the whole tree.
+def shape_of(paths: Iterable[int]) -> int:
+    """A hash of a page's set of paths."""
+    return xxhash.xxh64_intdigest(b"".join(p.to_bytes(8, "little") for p in sorted(paths)))
+
 
-    Counts are summed on the map side first, so a host with a third of all pages is no hot group.
-    Kept are nodes on MIN_SHARE of the tree's pages, hence at most 1 / MIN_SHARE times the elements
-    of a page for each tree.
+def importances(pages: DataFrame, url: str, page: str) -> DataFrame:
+    """``host``, ``shape`` and ``tree``: importances of presentation and content of the paths of a shape.
+
+    A shape is the set of paths of a page; pages of a template share it.  Counts are summed on the
+    map side first, so a host with a third of all pages is no hot group.  Every path on MIN_PAGES
+    pages of its host is judged by them, others by the pages of all hosts if those are enough; the
+    trees stay tables and meet the paths of each shape by joins, so only as much of a tree as a page
+    has reaches a row.
     """
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             hosts, paths, kinds, hashes = [], [], [], []
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for (path, kind), feature in features(parse(text)[0]).items():
+                made = features(parse(text)[0])
+                of_page = {path for path, _ in made}
+                shape = _signed(shape_of(of_page))
+                for (path, kind), feature in made.items():
                     hosts.append(host)
                     paths.append(_signed(path))
                     kinds.append(kind)
                     hashes.append(_signed(feature))
+                for path in of_page:
+                    hosts.append(host)
+                    paths.append(_signed(path))
+                    kinds.append(SHAPE)
+                    hashes.append(shape)
             columns = [pa.array(hosts, pa.int64()), pa.array(paths, pa.int64()), pa.array(kinds, pa.int8()), pa.array(hashes, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, names=["host", "path", "kind", "feature"])
 
         return each
 
     rows = explode_batches(pages.select(host_key(F.col(url)).alias("host"), F.col(page).alias("page")), start, "host long, path long, kind byte, feature long")
-    counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
-    everywhere = counted.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n")).withColumn("host", F.lit(0).cast("long"))
+    counted = written(rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n")), "site-style")
+    seen = counted.where(F.col("kind") != SHAPE)
 
-    def entropies(counts: DataFrame) -> DataFrame:
-        of = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("c"))
+    def entropies(counts: DataFrame, by: list[str]) -> DataFrame:
+        of = counts.groupBy(*by, "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("c"))
         even = F.when(F.col("m") > 1, F.greatest(F.lit(0.0), 1 - F.col("c") / (F.col("m") * F.log("m")))).otherwise(1.0)
-        by_path = of.groupBy("host", "path").agg(
+        by_path = of.groupBy(*by).agg(
             F.max("m").alias("m"),
             F.coalesce(F.max(F.when(F.col("kind") == 0, even)), F.lit(1.0)).alias("style"),
             F.coalesce(F.max(F.when(F.col("kind") == 1, even)), F.lit(1.0)).alias("content"),
         )
-        enough = by_path.where(F.col("m") >= MIN_PAGES)
-        size = enough.groupBy("host").agg(F.max("m").alias("pages"))
-        both = enough.join(size, "host").where(F.col("m") >= MIN_SHARE * F.col("pages"))
-        return both.select("host", "path", "style", "content")
+        return by_path.where(F.col("m") >= MIN_PAGES).select(*by, F.struct("style", "content").alias("judged"))
 
-    return entropies(counted), entropies(everywhere)
+    everywhere = seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"))
+    shapes = counted.where(F.col("kind") == SHAPE).select("host", F.col("feature").alias("shape"), "path")
+    of_host = join_hot(shapes, entropies(seen, ["host", "path"]).withColumnRenamed("judged", "near"), ["host", "path"], "left")
+    both = join_hot(of_host, entropies(everywhere, ["path"]), ["path"], "left").withColumn("judged", F.coalesce("near", "judged"))
+    entry = F.struct("path", F.col("judged.style").alias("style"), F.col("judged.content").alias("content"))
+    return both.where(F.col("judged").isNotNull()).groupBy("host", "shape").agg(F.collect_list(entry).alias("tree"))
 
 
 def main_text(
@@ -421,24 +441,31 @@ def main_text(
 
     White space within a block is one space, blocks are joined by one space; NULL and empty pages
     and pages without main text give an empty text.  A NULL address belongs to the host "".  Rows are
-    independent but for the tree; repeated rows count as pages of their own.  The host's tree comes
-    by a join, the tree of all hosts (bounded, see ``importances``) with the tasks.
+    independent but for the tree; repeated rows count as pages of their own.  What the trees say of
+    a page's paths comes by a join on its host and shape.
     """
-    by_host, overall = importances(pages, url, page)
-    all_tree = {r.path: (r.style, r.content) for r in overall.collect()}
-    trees = by_host.groupBy("host").agg(F.collect_list(F.struct("path", "style", "content")).alias("tree"))
+    trees = importances(pages, url, page)
     row = F.struct(*[F.col(f"`{c}`") for c in keep or pages.columns])
-    ready = pages.select(host_key(F.col(url)).alias("host"), row.alias("row"), F.col(f"`{page}`").alias("page"))
+    given = pages.select(row.alias("row"), F.col(f"`{page}`").alias("page"), host_key(F.col(url)).alias("host"))
+
+    def shapes() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [_signed(shape_of({n.path for n in _walk(parse(text)[0])})) for text in batch.column(1).to_pylist()]
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "shape"])
+
+        return each
+
+    ready = explode_batches(given, shapes, StructType([*given.schema.fields, StructField("shape", LongType())]))
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = []
             for text, tree in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                host_tree = {x["path"]: (x["style"], x["content"]) for x in tree or ()}
-                texts.append(extract(text, host_tree, all_tree, threshold))
+                judged = {x["path"]: (x["style"], x["content"]) for x in tree or ()}
+                texts.append(extract(text, judged, {}, threshold))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
         return each
 
-    joined = join_hot(ready, trees, ["host"], "left").select("row", "page", "tree")
+    joined = join_hot(ready, trees, ["host", "shape"], "left").select("row", "page", "tree")
     return explode_batches(joined, start, StructType([joined.schema["row"], StructField("text", StringType())]))

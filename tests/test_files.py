@@ -3,8 +3,12 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
 from tidegate.operators.manifests import CHECKS, failures_per_file_check, verify_files
-from tidegate.sources.files import file_facts, read_manifests
+from tidegate.sources.files import _md5_streamer, file_facts, read_manifests
 
 
 def deliver(folder, name, text, manifest=None, **claims):
@@ -81,3 +85,38 @@ def test_every_kind_of_delivery(spark, tmp_path):
     assert sum(r["passed"] for r in got.values()) == 1
     counts = {(r["check_name"], r["outcome"]): r["files"] for r in failures_per_file_check(verified).collect()}
     assert counts[("file_arrived", "FAIL")] == 1 and counts[("checksum_match", "FAIL")] == 2
+
+
+def test_large_files_that_only_spark_reaches(spark, tmp_path):
+    folder = tmp_path / "in"
+    deliver(folder, "d_20240101.csv", "h\n1\n2\n")
+    deliver(folder, "d_20240102.csv", "h\n1\n2\n", checksum=hashlib.md5(b"h\n1\n3\n").hexdigest())
+    deliver(folder, "d [x] {y}.csv", "h\n1\n2\n")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.mounted.link./in", folder.as_uri())
+    there = "viewfs://mounted/in"
+    facts = file_facts(spark, there, in_memory_bytes=3)
+    assert {r.file_name: r.checksum for r in facts.collect()} == {
+        p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in folder.glob("*.csv")
+    }
+    expected = spark.createDataFrame([("d", f"d_2024010{i}.csv") for i in (1, 2)], "dataset_name string, file_name string")
+    claims = read_manifests(spark, there)
+    assert {r.file_name: r.passed for r in verify_files(expected, facts, claims).collect()} == {
+        "d_20240101.csv": True, "d_20240102.csv": False
+    }
+
+
+def test_unhashed_files_do_not_pass(spark, tmp_path):
+    deliver(tmp_path, "d_20240101.csv", "h\n1\n2\n")
+    deliver(tmp_path, "d_20240102.csv", "h\n1\n2\n", checksum=None)
+    expected = spark.createDataFrame([("d", f"d_2024010{i}.csv") for i in (1, 2)], "dataset_name string, file_name string")
+    facts = file_facts(spark, str(tmp_path)).withColumn("checksum", F.lit(None).cast("string"))
+    claims = read_manifests(spark, str(tmp_path))
+    for allowed in (False, True):
+        got = {r.file_name: r for r in verify_files(expected, facts, claims, allow_unhashed=allowed).collect()}
+        assert got["d_20240101.csv"].checksum_match == "SKIPPED" and got["d_20240101.csv"].passed is allowed
+        assert got["d_20240102.csv"].checksum_match == "FAIL" and not got["d_20240102.csv"].passed
+
+
+def test_read_errors_are_not_passed_over(tmp_path):
+    with pytest.raises(OSError):
+        list(_md5_streamer(8)(iter([pd.DataFrame({"file_path": [(tmp_path / "gone.csv").as_uri()]})])))

@@ -231,6 +231,27 @@ def test_delivery_is_verified_before_it_is_read(spark, tmp_path):
     assert (result.status, result.valid) == (SUCCESS, 2)
 
 
+def test_an_unreadable_delivery_stops_no_other(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    contracts = [Contract.define(n, mandatory="id BIGINT, department STRING") for n in ("one", "two")]
+    for name in ("one", "two"):
+        file = landing / name / f"{name}_20240115.csv"
+        write(file, "1,HR", header="id,department")
+        fact = file_facts(spark, str(landing / name), file.name).first()
+        claim = {"checksum": fact["checksum"], "expected_rows": 1, "file_size_bytes": file.stat().st_size}
+        (landing / name / f"{name}_20240115_manifest.json").write_text(json.dumps(claim))
+
+    def facts(session, path, pattern):
+        if "two" in str(path):
+            raise OSError("broken read")
+        return file_facts(session, path, pattern)
+
+    monkeypatch.setattr("tidegate.plans.ingest.file_facts", facts)
+    found = ingest_deliveries(spark, str(landing), contracts, str(tmp_path / "lake"), DAY)
+    assert found["one"].errors == [] and found["one"].status == SUCCESS
+    assert found["two"].errors == ["OSError: broken read"]
+
+
 def test_several_deliveries_at_once(spark, tmp_path):
     landing = tmp_path / "landing"
     contracts = [Contract.define(n, mandatory="id BIGINT, department STRING") for n in ("one", "two", "three", "four")]

@@ -23,14 +23,18 @@ def _outcome(ok: Column) -> Column:
 
 
 def verify_files(
-    expected: DataFrame, facts: DataFrame, manifests: DataFrame, pattern: Column | None = None
+    expected: DataFrame,
+    facts: DataFrame,
+    manifests: DataFrame,
+    pattern: Column | None = None,
+    allow_unhashed: bool = False,
 ) -> DataFrame:
     """One row per expected file (``dataset_name``, ``file_name``) with the outcome of every check.
 
     A check that could not run because an earlier one failed is NULL: nothing can be said about a
     file that is not there, nor compared with a manifest that is missing or broken.  ``passed``
-    is true when nothing failed; ``errors`` says what did.  A file without a checksum of its own has
-    the outcome SKIPPED there.
+    is true when nothing failed; ``errors`` says what did.  A file that could not be hashed has the
+    outcome SKIPPED against a claimed checksum and does not pass, unless ``allow_unhashed``.
     """
     pattern = delivery_pattern(F.col("dataset_name")) if pattern is None else pattern
     given = manifests.select(
@@ -59,7 +63,7 @@ def verify_files(
     for name, (claimed, actual) in pairs.items():
         outcomes[name] = F.when(comparable, _outcome(claimed.eqNullSafe(actual)))
     # A file whose storage does not let it be hashed is neither right nor wrong.
-    unhashed = comparable & F.col("checksum").isNull()
+    unhashed = comparable & F.col("checksum").isNull() & (F.col("_checksum") != "")
     outcomes["checksum_match"] = F.when(unhashed, "SKIPPED").otherwise(outcomes["checksum_match"])
     details = {
         "file_arrived": F.lit("file not found"),
@@ -72,8 +76,9 @@ def verify_files(
             F.lit("expected="), claimed.cast("string"), F.lit(", actual="), F.coalesce(actual.cast("string"), F.lit("none"))
         )
     judged = joined.select("*", *[outcomes[c].alias(c) for c in CHECKS])
+    bad = ["FAIL"] if allow_unhashed else ["FAIL", "SKIPPED"]
     errors = F.array_compact(
-        F.array(*[F.when(F.col(c) == "FAIL", F.concat(F.lit(f"{c}: "), details[c])) for c in CHECKS])
+        F.array(*[F.when(F.col(c).isin(bad), F.concat(F.lit(f"{c}: "), details[c])) for c in CHECKS])
     )
     return judged.select(
         "dataset_name", "file_name", "file_path", *CHECKS, errors.alias("errors")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,8 @@ from tidegate.contract import CORRUPT_COLUMN
 
 # Files up to this size are hashed inside the JVM as one value; larger ones are streamed.
 IN_MEMORY_BYTES = 64 * 1024 * 1024
+# What Spark can hold as one value, for files that only Spark reaches.
+SPARK_BYTES = 2**31 - 2**20
 _CHUNK = 8 * 1024 * 1024
 
 MANIFEST_SCHEMA = (
@@ -36,20 +39,36 @@ def _md5_streamer(chunk: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
             sums = []
             for path in batch["file_path"]:
                 digest = hashlib.md5()
-                try:
-                    filesystem, inner = fs.FileSystem.from_uri(path)
-                    with filesystem.open_input_stream(inner) as source:
-                        while piece := source.read(chunk):
-                            digest.update(piece)
-                except (OSError, ValueError, NotImplementedError):  # a storage that only Spark reaches
-                    sums.append(None)
-                else:
-                    sums.append(digest.hexdigest())
+                filesystem, inner = fs.FileSystem.from_uri(path)
+                with filesystem.open_input_stream(inner) as source:
+                    while piece := source.read(chunk):
+                        digest.update(piece)
+                sums.append(digest.hexdigest())
             yield batch[["file_path"]].assign(checksum=sums)
 
     return stream
 
 
+def _not_opened() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The files that Python cannot open; nothing is read."""
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        def opens(path: str) -> bool:
+            try:
+                filesystem, inner = fs.FileSystem.from_uri(path)
+                filesystem.open_input_stream(inner).close()
+            except (OSError, ValueError, NotImplementedError):
+                return False
+            return True
+
+        for batch in batches:
+            yield batch[[not opens(path) for path in batch["file_path"]]]
+
+    return probe
+
+
 def file_facts(
     spark: SparkSession,
     path: str | list[str],
@@ -58,8 +77,9 @@ def file_facts(
 ) -> DataFrame:
     """``(file_path, file_name, file_size_bytes, checksum, data_rows)`` for every file.
 
-    ``checksum`` is NULL for a file above ``in_memory_bytes`` on a storage that only Spark reaches;
-    raise the limit (up to 2 GB) to have such files hashed by Spark itself.  ``data_rows`` counts
+    Files above ``in_memory_bytes`` are streamed by Python; those that it cannot open, which a small
+    job finds out at once, are hashed by Spark as one value.  ``checksum`` is NULL only for what is
+    beyond SPARK_BYTES there.  A file that fails while it is read fails the job.  ``data_rows`` counts
     physical lines without the header.  Lines are counted over file splits
     with partial aggregation, so one huge file is shared by many tasks.
     """
@@ -87,10 +107,16 @@ def file_facts(
         .where(F.col("length") <= in_memory_bytes)
         .select(file_path, no_size, F.md5("content").alias("checksum"), no_lines)
     )
+    over = files().where(F.col("length") > in_memory_bytes).select(file_path, "path", "length")
+    unopened = over.repartition("file_path").mapInPandas(_not_opened(), over.schema).collect()
+    held = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in unopened if r.length <= SPARK_BYTES]
+    if held:
+        there = spark.read.format("binaryFile").load(held)
+        small = small.unionByName(there.select(file_path, no_size, F.md5("content").alias("checksum"), no_lines))
+    other = spark.createDataFrame([(r.file_path,) for r in unopened], "file_path string")
     large = (
-        files()
-        .where(F.col("length") > in_memory_bytes)
-        .select(file_path)
+        over.join(other, "file_path", "left_anti")
+        .select("file_path")
         .repartition("file_path")
         .mapInPandas(_md5_streamer(_CHUNK), "file_path string, checksum string")
         .select("file_path", no_size, "checksum", no_lines)

@@ -178,6 +178,18 @@ class TestSecrets:
         at = f"call {words[0]} with ".__len__()
         assert got == {1: (f"random:{at}:{at + len(secret)}",), 2: ("",)}
 
+    def test_random_tokens_beside_fixed_spans(self, spark):
+        run = "0123456789abcdef01234567"
+        texts = [f"xoxp-8842-{run}-Zq7 b", f"QXZKWV{run}JQXZ b", f"{run} token={run}"]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = secrets.scan(docs, [1.0] * secrets._SIZE**2)
+        made = found.select("row", secrets.described(F.col("spans")).alias("d"), secrets.masked(F.col("row.text"), F.col("spans")).alias("m"))
+        assert by_id(made, "d", "m") == {
+            0: ("random:0:38,hex:10:34", "[SECRET] b"),
+            1: ("random:0:34,hex:6:30", "[SECRET] b"),
+            2: ("hex:0:24,assign:25:55,hex:31:55", "[SECRET] [SECRET]"),
+        }
+
     def test_masking(self, spark):
         docs = spark.createDataFrame(
             [(1, "a token = 'deadbeefdeadbeefdeadbeef' b", 38), (2, None, None), (3, "plain", 99)], "doc_id long, text string, n_chars long"

@@ -178,8 +178,8 @@ def scan(
     """``docs`` as struct ``row`` with ``spans``: array of (start, kind, end), sorted.
 
     ``kind`` is the place in KINDS; positions are code points, the end is exclusive.  The spans of a
-    fixed kind don't overlap; spans of kind ``random`` are tokens that overlap none of the fixed
-    kinds.  A NULL text is empty and has no spans.  Rows are independent.
+    fixed kind don't overlap; spans of kind ``random`` are tokens that lie wholly inside none of the
+    fixed kinds, but may overlap them.  A NULL text is empty and has no spans.  Rows are independent.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), value.alias("text"))
@@ -187,7 +187,7 @@ def scan(
     fixed = F.concat(*[base_spans(F.col("text"), k) for k in KINDS[:3]])
 
     def both(base: Column) -> Column:
-        more = F.filter(_spans("random", tokens), lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+        more = F.filter(_spans("random", tokens), lambda t: ~F.exists(base, lambda s: (s["start"] <= t["start"]) & (t["end"] <= s["end"])))
         return F.array_sort(F.concat(base, more))
 
     return rows.select("row", _bound(fixed, both).alias("spans"))

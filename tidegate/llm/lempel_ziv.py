@@ -1,4 +1,4 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against blocks of the whole corpus.
+"""Substring deduplication by anchor blocks of the whole corpus, in place of greedy Lempel-Ziv factors.
 
 The reference is every document; it is indexed by blocks that the content itself marks out.  A
 block's anchor is the smallest hashed gram of eight words among those of a window of 35 words, and

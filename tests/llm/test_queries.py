@@ -35,7 +35,7 @@ def result(spark, name: str, *columns: str) -> dict:
 
 def test_registered():
     assert set(llm_queries()) | {"pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in llm_queries()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in llm_queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(llm_oracles()))

@@ -146,7 +146,9 @@ def search(
     if not n_queries:
         return vectors.sparkSession.createDataFrame([], empty)
     sample = fine.where(share_of(F.col("id"), n, SAMPLE)).select("v").toArrow()["v"].to_pylist()
-    shared = vectors.sparkSession.sparkContext.broadcast(learn(np.array(sample or fine.limit(1).first()[1:], float), k))
+    index = learn(np.array(sample or fine.limit(1).first()[1:], float), k)
+    # Plain values: a broadcast instance would make workers import this module.
+    shared = vectors.sparkSession.sparkContext.broadcast((index.mean, index.axes, index.radius, index.substrings))
     rows_in, queries_in = -(-n // row_block), -(-n_queries // query_block)
     dealt = fine.select(
         F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(rows_in)).alias("a"),
@@ -166,7 +168,7 @@ def search(
     def meet(rows: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple] = []
         if rows.num_rows and queries.num_rows:
-            block = Block(shared.value, *matrix(rows))
+            block = Block(Index(*shared.value), *matrix(rows))
             for own, vector in zip(*matrix(queries), strict=True):
                 ids, apart = block.nearest(own, vector, k)
                 found += zip([own] * len(ids), ids.tolist(), apart.tolist(), strict=True)

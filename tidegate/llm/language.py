@@ -130,5 +130,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[s
     The matrix (buckets x languages, bounded) is broadcast.  ``und`` with score 0 for NULL, for texts
     without a letter, and for a model that has learned nothing; ties go to the first language by name.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return map_texts(docs, list(keep or docs.columns), text, lambda: shared.value.scorer(), "lang_pred string, score double")
+    # Plain values: a broadcast instance would make workers import this module.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table, model.prior))
+    return map_texts(docs, list(keep or docs.columns), text, lambda: Model(*shared.value).scorer(), "lang_pred string, score double")

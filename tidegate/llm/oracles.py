@@ -86,5 +86,62 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from norm left join hit using (doc_id) left join items using (doc_id)"""
 
 
+def _op12(levels: int = 6, top_levels: int = 3) -> str:
+    """Trees level by level, for sources of up to 16**levels rows and up to 16**top_levels sources."""
+
+    def leaf(text: str) -> str:
+        values = ["doc_id", "source", "lang", "n_chars", text]
+        fields = [f"case when {v} is null then '-' else strlen({v}::varchar) || ':' || {v}::varchar end" for v in values]
+        return f"sha256({' || '.join(fields)})"
+
+    def tree(name: str, group: str, leaves: str, depth: int) -> str:
+        """Nodes of each level with what lies left and right of them in their run."""
+        parts = [f"{name}0 as ({leaves})"]
+        for k in range(depth):
+            parts.append(
+                f"""{name}{k + 1} as (select {group}, i // 16 as i, sha256(string_agg(h, '' order by i)) as h, any_value((c + 15) // 16) as c
+  from {name}{k} where c > 1 group by {group}, i // 16),
+{name}_sides{k} as (select {group}, i,
+    coalesce(string_agg(h, '') over (run rows between unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(h, '') over (run rows between 1 following and unbounded following), '') as r
+  from {name}{k} where c > 1 window run as (partition by {group}, i // 16 order by i))"""
+            )
+        ends = " union all ".join(f"select {group}, h from {name}{k} where c = 1" for k in range(depth + 1))
+        return ",\n".join([*parts, f"{name}_root as ({ends})"])
+
+    def fold(name: str, group: str, before: str, depth: int, at: str) -> tuple[str, str]:
+        parts = []
+        for k in range(depth):
+            parts.append(
+                f"""{name}_fold{k} as (select d.* exclude (folded, proof),
+    case when s.i is null then folded else sha256(l || folded || r) end as folded,
+    proof || coalesce(l || r, '') as proof
+  from {before} d left join {name}_sides{k} s on s.{group} is not distinct from d.{group} and s.i = d.{at} // {16**k})"""
+            )
+            before = f"{name}_fold{k}"
+        return ",\n".join(parts), before
+
+    crc_byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], (x, y) -> xor(x >> 1, (x & 1) * 3988292384))"
+    crc = f"xor(list_reduce([4294967295::bigint] || [ascii(x)::bigint for x in string_split(doc_id::varchar, '')], (c, b) -> {crc_byte}), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    low, after_low = fold("low", "source", "marked", levels, "place")
+    top, after_top = fold("top", "one", "placed", top_levels, "rank")
+    leaves = "select source, place as i, leaf as h, count(*) over (partition by source) as c from marked"
+    return f"""
+with marked as (
+  select doc_id, source, 1 as one, row_number() over (partition by source order by doc_id) - 1 as place, {leaf("text")} as leaf,
+    case when {crc} % 5 = 0 then {leaf(lowered)} else leaf end as folded, '' as proof
+  from documents),
+{tree("low", "source", leaves, levels)},
+ranked as (select source, 1 as one, h, row_number() over (order by source nulls first) - 1 as rank from low_root),
+{tree("top", "one", "select one, rank as i, h, count(*) over () as c from ranked", top_levels)},
+{low},
+placed as (
+  select d.*, ranked.h as subroot, ranked.rank as rank from {after_low} d join ranked on ranked.source is not distinct from d.source),
+{top}
+select doc_id, leaf, subroot, top_root.h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = top_root.h as verified
+from {after_top}, top_root"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op4_licences": _op4(), "op5_lempel_ziv": _OP5, "op10_decontaminate": _OP10}
+    return {"op4_licences": _op4(), "op5_lempel_ziv": _OP5, "op10_decontaminate": _OP10, "op12_merkle": _op12()}

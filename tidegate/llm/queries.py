@@ -9,20 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import (
+    alignment,
     decontaminate,
     hashing_index,
     language,
     lempel_ziv,
     licences,
+    merkle,
     quality_rules,
     secrets,
     sentencepiece_codec,
     simhash,
     site_style,
+    token_counts,
 )
 from tidegate.llm.shared import crc_remainder, table
+from tidegate.plans.workspace import new_folder
 
 MODEL_FILE = "piece_bpe_32k.model"
+BYTE_FILE = "byte_bpe_50k.json"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +124,41 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = alignment.aligned(docs, public_tokenizers.path(BYTE_FILE), public_tokenizers.path(MODEL_FILE))
+    found = alignment.measures(texts, alignment.pair_counts(texts))
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).alias("groups_sha256")
+    digested = found.select(*[c for c in found.columns if c != "groups"], digest)
+    made = alignment.without_nulls(alignment.joined(docs, digested, keep=["doc_id"]))
+    return made.select("row.doc_id", *[c for c in made.columns if c != "row"])
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lowered = F.translate("text", UPPER, LOWER)
+    tampered = F.when(crc_remainder(F.col("doc_id"), 5) == 0, merkle.leaf_digest(*values[:-1], lowered))
+    leaves = docs.select("doc_id", "source", merkle.leaf_digest(*values).alias("leaf"), tampered.alias("tampered"))
+    made = merkle.manifest(leaves, keep=["doc_id", "tampered"])
+    found = made.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("row.tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cache = new_folder(spark, "token-counts")
+    made = token_counts.count_tokens(docs, public_tokenizers.path(BYTE_FILE), cache, keep=["doc_id"])
+    return made.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -132,5 +173,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_simhash,
             op9_sentencepiece,
             op10_decontaminate,
+            op11_alignment,
+            op12_merkle,
+            op13_token_counts,
         )
     }

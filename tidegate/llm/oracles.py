@@ -121,8 +121,8 @@ def _op12(levels: int = 6, top_levels: int = 3) -> str:
             before = f"{name}_fold{k}"
         return ",\n".join(parts), before
 
-    crc_byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], (x, y) -> xor(x >> 1, (x & 1) * 3988292384))"
-    crc = f"xor(list_reduce([4294967295::bigint] || [ascii(x)::bigint for x in string_split(doc_id::varchar, '')], (c, b) -> {crc_byte}), 4294967295)"
+    crc_byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    crc = f"xor(list_reduce([4294967295::bigint] || [ascii(x)::bigint for x in string_split(doc_id::varchar, '')], lambda c, b: {crc_byte}), 4294967295)"
     lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     low, after_low = fold("low", "source", "marked", levels, "place")
     top, after_top = fold("top", "one", "placed", top_levels, "rank")

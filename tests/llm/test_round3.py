@@ -123,9 +123,9 @@ class TestTokenCounts:
         seen = []
         encode = token_counts._encoded
 
-        def watched(texts, file):
+        def watched(texts, *given):
             seen.append(sorted(r.text for r in texts.collect()))
-            return encode(texts, file)
+            return encode(texts, *given)
 
         monkeypatch.setattr(token_counts, "_encoded", watched)
         first = spark.createDataFrame([(1, "one"), (2, "two words"), (3, "one"), (4, None)], "doc_id long, text string")

@@ -10,6 +10,7 @@ many linked id pairs as both vocabularies have bytes, whatever the corpus: that
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,11 +20,11 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.sentencepiece_codec import MARK, Table, check_model
-from tidegate.llm.shared import ROWS_AT_ONCE, explode_batches, join_hot, written
+from tidegate.llm.sentencepiece_codec import MARK
+from tidegate.llm.shared import ROWS_AT_ONCE, explode_batches, join_hot, once_per_worker, written
 
 #: Characters of texts that are tokenised in one call.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 ALIGNED = "key string, n long, a array<int>, b array<int>, in_a array<int>, in_b array<int>"
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
 
@@ -56,8 +57,8 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        self.b = Table(model_b)
-        self.bytes_a, self.bytes_b = bytes_a(self.a), bytes_b(self.b.sp)
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
+        self.bytes_a, self.bytes_b = bytes_a(self.a), bytes_b(self.b)
         if not all(self.bytes_a) or not all(self.bytes_b):
             raise ValueError("a token without bytes ends where the one before it ends")
         self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
@@ -65,7 +66,7 @@ class Aligner:
     def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none at all for a text that one of them does not give back byte by byte."""
         ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = [ids[:-1].tolist() for ids in self.b.code(texts)[0]]
+        ids_b = self.b.encode(texts, num_threads=1)
         for i, text in enumerate(texts):
             raw = b" " + text.encode()
             same = b"".join(map(self.bytes_a.__getitem__, ids_a[i])) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b[i]))
@@ -106,15 +107,15 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, text: str = "text") -> Da
     ``key`` (its digest), ``n`` (rows that have it), ``a`` and ``b`` (ids), ``in_a`` and ``in_b`` (tokens of
     either side in each group).  Both files are read on the driver; their size is fixed.
     """
-    model_b = _read(b_file)
-    check_model(model_b)
-    models = docs.sparkSession.sparkContext.broadcast((_read(a_file), model_b))
+    files = _read(a_file), _read(b_file)
+    version = hashlib.sha256(files[0] + files[1]).hexdigest()
+    models = docs.sparkSession.sparkContext.broadcast(files)
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text != ''")
     distinct = whole.groupBy("text").agg(F.count("*").alias("n")).select(F.sha2("text", 256).alias("key"), "n", "text")
     ints = pa.list_(pa.int32())
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        aligner = Aligner(*models.value)
+        aligner = once_per_worker("aligner", version, lambda: Aligner(*models.value))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(2).to_pylist()

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +79,20 @@ def explode_batches(
     return df.mapInArrow(run, schema)
 
 
+def once_per_worker(name: str, version: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept in the Python worker for its next tasks; another version replaces it.
+
+    Functions travel to the workers by value, so their own module does not last there; a module made
+    for the purpose does.  Tokenizers of one library keep memory of each of their threads for good when
+    they are loaded again and again, so they are loaded once and use the task's own thread.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    kept = sys.modules.setdefault("tidegate_worker", types.ModuleType("tidegate_worker")).__dict__
+    if name not in kept or kept[name][0] != version:
+        kept[name] = (version, make())
+    return kept[name][1]
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a NULL id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -16,12 +16,12 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.shared import explode_batches, join_hot, written
+from tidegate.llm.shared import explode_batches, join_hot, once_per_worker, written
 from tidegate.sources.zones import exists
 
 CACHE_SCHEMA = "content string, n_tokens long, tokenizer string"
 #: Characters of texts that are encoded in one call.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 
 
 def version_of(tokenizer_file: str) -> str:
@@ -62,14 +62,14 @@ def cached(spark: SparkSession, cache: str, version: str) -> DataFrame:
     return stored.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def _encoded(texts: DataFrame, tokenizer_file: str) -> DataFrame:
+def _encoded(texts: DataFrame, tokenizer_file: str, version: str) -> DataFrame:
     """``content`` and ``n_tokens`` of each row of ``content`` and ``text``."""
     with open(tokenizer_file, "rb") as file:
         model = texts.sparkSession.sparkContext.broadcast(file.read())
     is_json = not tokenizer_file.endswith(".model")
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        count = counter(model.value, is_json)
+        count = once_per_worker("counter", version, lambda: counter(model.value, is_json))
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts = [n for part in _in_parts(batch.column(1).to_pylist()) for n in count(part)]
@@ -105,6 +105,6 @@ def count_tokens(
     # choice from the size of their table; many meet the texts where the copies were gathered.
     texts = docs.select(F.sha2(whole, 256).alias("content"), whole.alias("text"))
     texts = texts.groupBy("content").agg(F.min("text").alias("text")).join(missing, "content", "left_semi")
-    counted = _encoded(texts, tokenizer_file).withColumn("tokenizer", F.lit(version))
+    counted = _encoded(texts, tokenizer_file, version).withColumn("tokenizer", F.lit(version))
     counted.write.mode("append").partitionBy("tokenizer").parquet(cache)
     return join_hot(rows, cached(spark, cache, version), ["content"], "left").select("row", "n_bytes", "n_tokens")

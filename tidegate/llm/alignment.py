@@ -19,13 +19,17 @@ import sentencepiece
 import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidegate.llm.sentencepiece_codec import MARK
 from tidegate.llm.shared import ROWS_AT_ONCE, explode_batches, join_hot, once_per_worker, written
 
 #: Characters of texts that are tokenised in one call.
 AT_ONCE = 1 << 18
-ALIGNED = "key string, n long, a array<int>, b array<int>, in_a array<int>, in_b array<int>"
+#: Ids are packed as numbers of 16 bits, or 32 for larger vocabularies; marks as one bit per token.
+ALIGNED = "key string, n long, n_a long, n_b long, a binary, b binary, last_a binary, last_b binary, pair long"
+PACKED = ("n_a", "n_b", "a", "b", "last_a", "last_b")
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
 
 
@@ -74,17 +78,37 @@ class Aligner:
                 ids_a[i], ids_b[i] = [], []
         return ids_a, ids_b
 
-    def align(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides, and how many tokens of either each group holds."""
-        ids_a, ids_b = self.tokens(texts)
-        in_a, in_b = [], []
-        for a, b in zip(ids_a, ids_b, strict=True):
-            ends_a = np.cumsum(self.sizes_a[np.array(a, np.intp)])
-            ends_b = np.cumsum(self.sizes_b[np.array(b, np.intp)])
+    def align(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text the ids of both sides, and the places of the tokens of either that end a group."""
+        out = []
+        for a, b in zip(*self.tokens(texts), strict=True):
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
             _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-            in_a.append(np.diff(at_a, prepend=-1))
-            in_b.append(np.diff(at_b, prepend=-1))
-        return ids_a, ids_b, in_a, in_b
+            out.append((a, b, at_a, at_b))
+        return out
+
+    def packed(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> tuple:
+        """The columns PACKED of a text."""
+        ids = [x.astype("<u2" if len(sizes) <= 1 << 16 else "<u4").tobytes() for x, sizes in ((a, self.sizes_a), (b, self.sizes_b))]
+        marks = []
+        for size, at in ((len(a), at_a), (len(b), at_b)):
+            last = np.zeros(size, bool)
+            last[at] = True
+            marks.append(np.packbits(last, bitorder="little").tobytes())
+        return len(a), len(b), *ids, *marks
+
+
+def unpacked(n_a: int, n_b: int, a: bytes, b: bytes, last_a: bytes, last_b: bytes) -> tuple[np.ndarray, ...]:
+    """What :meth:`Aligner.align` gave for a text."""
+    ids = [np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4").astype(np.int64) for n, x in ((n_a, a), (n_b, b))]
+    places = [np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8), count=n, bitorder="little")) for n, x in ((n_a, last_a), (n_b, last_b))]
+    return *ids, *places
+
+
+def pairs_of(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """The id pairs that are linked, each as A id * 2**32 + B id: the last tokens of each group."""
+    return a[at_a] << 32 | b[at_b]
 
 
 def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -102,75 +126,59 @@ def _read(file: str) -> bytes:
 
 
 def aligned(docs: DataFrame, a_file: str, b_file: str, text: str = "text") -> DataFrame:
-    """One row per distinct text that is neither NULL nor empty, as a written table.
+    """One row per distinct text that is neither NULL nor empty, and the counts of linked pairs: a written table.
 
-    ``key`` (its digest), ``n`` (rows that have it), ``a`` and ``b`` (ids), ``in_a`` and ``in_b`` (tokens of
-    either side in each group).  Both files are read on the driver; their size is fixed.
+    A text's row has ``key`` (its digest), ``n`` (rows that have it), ``n_a`` and ``n_b`` (tokens), ``a`` and
+    ``b`` (ids, packed), ``last_a`` and ``last_b`` (which tokens end a group, packed).  A pair's rows, one per
+    task, have ``pair`` and in ``n`` the links of the task's texts, weighted by their rows.  Both files are read
+    on the driver; their size is fixed.
     """
     files = _read(a_file), _read(b_file)
     version = hashlib.sha256(files[0] + files[1]).hexdigest()
     models = docs.sparkSession.sparkContext.broadcast(files)
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text != ''")
     distinct = whole.groupBy("text").agg(F.count("*").alias("n")).select(F.sha2("text", 256).alias("key"), "n", "text")
-    ints = pa.list_(pa.int32())
-
-    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        aligner = once_per_worker("aligner", version, lambda: Aligner(*models.value))
-
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(2).to_pylist()
-            out: list[list] = [[], [], [], []]
-            for i, j in _parts(texts):
-                for column, more in zip(out, aligner.align(texts[i:j]), strict=True):
-                    column += more
-            arrays = [batch.column(0), batch.column(1), *(pa.array(c, ints) for c in out)]
-            return pa.RecordBatch.from_arrays(arrays, names=["key", "n", "a", "b", "in_a", "in_b"])
-
-        return each
-
-    return written(explode_batches(distinct, start, ALIGNED), "aligned")
-
+    out = to_arrow_schema(StructType.fromDDL(ALIGNED))
 
-def links(batch: pa.RecordBatch, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the linked pairs (A id * 2**32 + B id) of all rows of a batch, and how many each row has.
+    def rows(columns: dict) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in out], schema=out)
 
-    Columns from ``first`` on are ``a``, ``b``, ``in_a``, ``in_b``.  A group's last tokens are linked.
-    """
-    a, b, in_a, in_b = (c.flatten().to_numpy() for c in batch.columns[first : first + 4])
-    last_a, last_b = np.cumsum(in_a, dtype=np.int64) - 1, np.cumsum(in_b, dtype=np.int64) - 1
-    return a[last_a].astype(np.int64) << 32 | b[last_b], np.diff(batch.column(first + 2).offsets.to_numpy())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = once_per_worker("aligner", version, lambda: Aligner(*models.value))
+        # What a task holds is bounded like the whole table of pairs, by the bytes of the vocabularies.
+        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                texts, weights = part.column(2).to_pylist(), part.column(1).to_numpy()
+                found = [x for i, j in _parts(texts) for x in aligner.align(texts[i:j])]
+                linked = [pairs_of(*x) for x in found]
+                weights = np.repeat(weights, [len(x) for x in linked])
+                pairs, where = np.unique(np.concatenate((pairs, *linked)), return_inverse=True)
+                counts = np.bincount(where, np.concatenate((counts, weights)), len(pairs)).astype(np.int64)
+                packed = dict(zip(PACKED, zip(*[aligner.packed(*x) for x in found], strict=True), strict=True))
+                yield rows({"key": part.column(0), "n": part.column(1)} | packed)
+        if len(pairs):
+            yield rows({"n": counts, "pair": pairs})
+
+    return written(distinct.mapInArrow(run, ALIGNED), "aligned")
 
 
 def pair_counts(texts: DataFrame) -> DataFrame:
     """``pair`` (A id * 2**32 + B id) and ``n``, its links in all rows of the corpus."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # What a task holds is bounded like the whole table, by the bytes of the vocabularies.
-        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 8 * ROWS_AT_ONCE):
-                part = batch.slice(at, 8 * ROWS_AT_ONCE)
-                found, sizes = links(part, 1)
-                weights = np.repeat(part.column(0).to_numpy(), sizes)
-                pairs, where = np.unique(np.concatenate((pairs, found)), return_inverse=True)
-                summed = np.zeros(len(pairs), np.int64)
-                np.add.at(summed, where, np.concatenate((counts, weights)))
-                counts = summed
-        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
-
-    counted = texts.select("n", "a", "b", "in_a", "in_b").mapInArrow(count, "pair long, n long")
-    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
+    return texts.where("key is null").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def group_texts(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, words: tuple[np.ndarray, ...]) -> str:
+def group_texts(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, words: tuple[np.ndarray, ...]) -> str:
     """Groups as text: ``a1,a2|b1;a3|b2,b3``.  ``words`` are the decimal ids followed by each separator."""
     comma, bar, semicolon = words
     parts = np.empty(len(a) + len(b), object)
-    ends_a, ends_b = np.cumsum(in_a), np.cumsum(in_b)
-    at_a = np.arange(len(a)) + np.repeat(ends_b - in_b, in_a)
-    at_b = np.arange(len(b)) + np.repeat(ends_a, in_b)
-    parts[at_a], parts[at_b] = comma[a], comma[b]
-    parts[at_a[ends_a - 1]], parts[at_b[ends_b - 1]] = bar[a[ends_a - 1]], semicolon[b[ends_b - 1]]
+    in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+    place_a = np.arange(len(a)) + np.repeat(at_b + 1 - in_b, in_a)
+    place_b = np.arange(len(b)) + np.repeat(at_a + 1, in_b)
+    parts[place_a], parts[place_b] = comma[a], comma[b]
+    parts[place_a[at_a]], parts[place_b[at_b]] = bar[a[at_a]], semicolon[b[at_b]]
     return "".join(parts.tolist())[:-1]
 
 
@@ -185,29 +193,35 @@ def measures(texts: DataFrame, counts: DataFrame) -> DataFrame:
     ids_b = pairs & 0xFFFFFFFF
     highest = np.zeros(int(ids_b.max(initial=0)) + 1, np.int64)
     np.maximum.at(highest, ids_b, n)
-    known = texts.sparkSession.sparkContext.broadcast((pairs, n, n == highest[ids_b], int(max(pairs.max(initial=0) >> 32, len(highest)))))
+    known = texts.sparkSession.sparkContext.broadcast((pairs, n, n == highest[ids_b]))
+    names = ["key", *[f.split()[0] for f in MEASURES.split(", ")], "groups"]
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        pairs, n, best, ids = known.value
-        words = tuple(np.array([f"{i}{c}" for i in range(ids + 1)], object) for c in ",|;")
+        pairs, n, best = known.value
+        words = [np.zeros(0, object)] * 3
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found, sizes = links(batch, 1)
-            where = np.searchsorted(pairs, found)
-            row = np.repeat(np.arange(batch.num_rows), sizes)
-            sums, bests = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            nonlocal words
+            packed = [c.to_pylist() for c in batch.columns[1:]]
+            found = [unpacked(*x) for x in zip(*packed, strict=True)]
+            most = max(int(x.max(initial=0)) for f in found for x in f[:2])
+            if len(words[0]) <= most:
+                words = [np.array([f"{i}{c}" for i in range(most + 1)], object) for c in ",|;"]
+            linked = [pairs_of(*x) for x in found]
+            sizes = np.array([len(x) for x in linked])
+            where = np.searchsorted(pairs, np.concatenate(linked))
+            row = np.repeat(np.arange(len(found)), sizes)
+            sums, bests = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
             np.add.at(sums, row, n[where])
             np.add.at(bests, row, best[where])
-            lengths = [np.diff(c.offsets.to_numpy()) for c in batch.columns[1:3]]
-            lists = [[x.values.to_numpy() for x in column] for column in batch.columns[1:5]]
-            groups = [group_texts(*x, words) if len(x[0]) else "" for x in zip(*lists, strict=True)]
-            columns = [*lengths, sizes, sizes, bests, sums]
-            arrays = [batch.column(0), *(pa.array(c.astype(np.int64)) for c in columns), pa.array(groups, pa.string())]
-            return pa.RecordBatch.from_arrays(arrays, names=["key", *[f.split()[0] for f in MEASURES.split(", ")], "groups"])
+            groups = [group_texts(*x, words) if len(x[0]) else "" for x in found]
+            numbers = [*packed[:2], sizes, sizes, bests, sums]
+            arrays = [batch.column(0), *(pa.array(x, pa.int64()) for x in numbers), pa.array(groups, pa.string())]
+            return pa.RecordBatch.from_arrays(arrays, names=names)
 
         return each
 
-    source = texts.select("key", "a", "b", "in_a", "in_b")
+    source = texts.where("key is not null").select("key", *PACKED)
     return explode_batches(source, start, f"key string, {MEASURES}, groups string")
 
 

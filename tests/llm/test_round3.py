@@ -44,6 +44,15 @@ class TestAlignment:
         for r in rows:
             assert tuple(r)[1:] == want[-1 if r.row.doc_id is None else r.row.doc_id]
 
+    def test_chunks_give_the_ids_of_the_whole_text(self, hard_texts, documents, monkeypatch):
+        monkeypatch.setattr(alignment, "CHUNK_CHARS", 50_000)
+        aligner = alignment.Aligner(*(alignment._read(f) for f in (plain.A_FILE, plain.B_FILE)))
+        spaces = [f"{a}{s}{b}" for s in (" ", "  ", "\x1c ", " \u00a0", "\t ", " \n", "\u2003 ", "'s ", " '") for a in ("x", "1", "!", "\u00e9") for b in ("y", "2", "?", "'ll")]
+        texts = [t for t in [*hard_texts, *EXTRA, *spaces, *(r["text"] for r in documents)] if t]
+        given = [a.tolist() for t in texts for a, _ in aligner.tokens([t])]
+        whole = [e.ids for e in aligner.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        assert all(a == w for a, w in zip(given, whole, strict=True) if a) and sum(map(bool, given)) > 200
+
     def test_copies_count_each(self, spark):
         docs = spark.createDataFrame([(i, "the same text") for i in range(40)] + [(99, "the other")], "doc_id long, text string")
         rows = {r.row.doc_id: tuple(r)[1:] for r in self.made(docs).collect()}

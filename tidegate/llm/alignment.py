@@ -11,7 +11,10 @@ many linked id pairs as both vocabularies have bytes, whatever the corpus: that
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+import re
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,8 @@ from tidegate.llm.shared import ROWS_AT_ONCE, explode_batches, join_hot, once_pe
 
 #: Characters of texts that are tokenised in one call.
 AT_ONCE = 1 << 18
+#: Characters of chunks whose ids a Python worker holds before it begins anew.
+CHUNK_CHARS = 4_000_000
 #: Ids are packed as numbers of 16 bits, or 32 for larger vocabularies; marks as one bit per token.
 ALIGNED = "key string, n long, n_a long, n_b long, a binary, b binary, last_a binary, last_b binary, pair long"
 PACKED = ("n_a", "n_b", "a", "b", "last_a", "last_b")
@@ -67,22 +72,42 @@ class Aligner:
             raise ValueError("a token without bytes ends where the one before it ends")
         self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
 
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; none at all for a text that one of them does not give back byte by byte."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            raw = b" " + text.encode()
-            same = b"".join(map(self.bytes_a.__getitem__, ids_a[i])) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b[i]))
-            if not text or not same:
-                ids_a[i], ids_b[i] = [], []
-        return ids_a, ids_b
+        self.chunks = re.compile(r"(?<=\S) (?=\S)").split
+        self.known: dict[str, bytes | None] = {}
+        self.held = 0
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        """A's ids of a space and each chunk, as bytes of 32-bit numbers; None if they do not give it back."""
+        if self.held > CHUNK_CHARS:
+            self.known.clear()
+            self.held = 0
+        new = list(set(chunks).difference(self.known))
+        for chunk, found in zip(new, self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False), strict=True):
+            ids = found.ids
+            same = b"".join(map(self.bytes_a.__getitem__, ids)) == b" " + chunk.encode()
+            self.known[chunk] = array("i", ids).tobytes() if same else None
+        self.held += sum(map(len, new))
+
+    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides; none at all for a text that one of them does not give back byte by byte.
+
+        A's words begin at a space that stands between two other characters, whatever is around, so a
+        text is cut there and each distinct chunk, with the space in front, needs to be encoded once.
+        """
+        split = [self.chunks(t) for t in texts]
+        self.learn(chain.from_iterable(split))
+        none = np.zeros(0, np.int64)
+        for text, chunks, ids_b in zip(texts, split, self.b.encode(texts, num_threads=1), strict=True):
+            ids_a = list(map(self.known.__getitem__, chunks))
+            if not text or None in ids_a or b"".join(map(self.bytes_b.__getitem__, ids_b)) != b" " + text.encode():
+                yield none, none
+            else:
+                yield np.frombuffer(b"".join(ids_a), np.int32).astype(np.int64), np.array(ids_b, np.int64)
 
     def align(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For each text the ids of both sides, and the places of the tokens of either that end a group."""
         out = []
-        for a, b in zip(*self.tokens(texts), strict=True):
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
+        for a, b in self.tokens(texts):
             ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
             _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
             out.append((a, b, at_a, at_b))

@@ -49,6 +49,14 @@ def batch_metrics() -> list[Column]:
     ]
 
 
+def split_metrics() -> tuple[dict[str, Column], dict[str, Column]]:
+    """The same counts, apart: those over valid rows, and those over refused ones."""
+    layer = F.col("rejection_layer")
+    valid = {"valid": F.count(F.lit(1)), "warned": F.count_if(F.col("dq_status") == "WARN")}
+    refused = {"schema_rejected": F.count_if(layer == SCHEMA_LAYER), "dq_failed": F.count_if(layer == DQ_LAYER)}
+    return valid, refused
+
+
 def reason_counts(rejected: DataFrame, *context: str) -> DataFrame:
     """Rows per rejection layer and reason, and per column of the context."""
     return rejected.groupBy(*context, "rejection_layer", "rejection_reason").agg(F.count("*").alias("rows"))

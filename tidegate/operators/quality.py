@@ -83,13 +83,19 @@ def failures_per_check(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 # -- checks that need other rows ------------------------------------------------------------
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str], first_seen: DataFrame | None = None) -> DataFrame:
     """Keys that occur more than once, with their row counts.  Keys with a NULL part are not
-    compared."""
+    compared.  ``first_seen`` holds the keys that came with ``df`` for the first time: all others
+    have been there before and are repeated as well."""
     complete = df
     for k in keys:
         complete = complete.where(F.col(k).isNotNull())
-    return complete.groupBy(*keys).agg(F.count("*").alias("key_rows")).where(F.col("key_rows") > 1)
+    counted = complete.groupBy(*keys).agg(F.count("*").alias("key_rows"))
+    if first_seen is None:
+        return counted.where(F.col("key_rows") > 1)
+    new = first_seen.select(*keys, F.lit(True).alias("_is_new"))
+    known = counted.join(new, list(keys), "left")
+    return known.where((F.col("key_rows") > 1) | F.col("_is_new").isNull()).drop("_is_new")
 
 
 def flag_duplicates(
@@ -99,14 +105,16 @@ def flag_duplicates(
     among: DataFrame | None = None,
     spread: str | None = None,
     min_rows: int = HOT_ROWS,
+    first_seen: DataFrame | None = None,
 ) -> DataFrame:
     """Every row plus a boolean: does its key occur more than once (in ``among``, if given)?
 
     Keys are counted with partial aggregation and joined back; the counts themselves name the keys
     whose rows must be spread, and rows with a NULL key part are spread over all tasks.  See
-    :func:`tidegate.operators.skew.salted_join` for ``spread``.
+    :func:`tidegate.operators.skew.salted_join` for ``spread`` and :func:`repeated_keys` for
+    ``first_seen``.
     """
-    counted = repeated_keys(df if among is None else among, keys)
+    counted = repeated_keys(df if among is None else among, keys, first_seen)
     hot = (
         counted.where(F.col("key_rows") >= min_rows)
         .orderBy(F.desc("key_rows"))

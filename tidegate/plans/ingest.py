@@ -15,9 +15,8 @@ from datetime import date
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tidegate.contract import SOFT, Contract
@@ -27,6 +26,7 @@ from tidegate.operators.audit import (
     add_quarantine_columns,
     batch_metrics,
     reason_counts,
+    split_metrics,
 )
 from tidegate.operators.enforce import SCHEMA_LAYER, SOURCE_COLUMN, diff_columns, finish, judge
 from tidegate.operators.evolution import incompatibility
@@ -96,6 +96,12 @@ class RunResult:
     def quarantined(self) -> int:
         return self.schema_rejected + self.dq_failed
 
+    def close(self, counts: dict[str, Any], refused: bool) -> None:
+        """Take in the counts of what was written; ``refused`` says that the batch was refused whole."""
+        for name, value in counts.items():
+            setattr(self, name, int(value))
+        self.status = FAILED if refused else SUCCESS if self.quarantined == 0 else PARTIAL
+
 
 def new_run_id() -> str:
     return uuid.uuid4().hex[:8]
@@ -107,12 +113,14 @@ def annotate(
     checks: Sequence[Check] | None = None,
     options: Options = Options(),
     record_all: bool = False,
+    first_seen: DataFrame | None = None,
 ) -> DataFrame:
     """Every delivered row with its typed values, DQ outcome and, where refused, the reason,
     the layer that refused it and the delivered text.
 
     The text is also kept where a row may be refused later: everywhere with ``record_all``, at soft
-    findings with ``options.escalate``.
+    findings with ``options.escalate``.  ``first_seen`` holds the unique keys that no earlier batch
+    has delivered, where the rows are one batch of several.
     """
     if checks is None:
         checks = build_checks(contract.declared_rules(), options.as_of)
@@ -128,8 +136,9 @@ def annotate(
         helpers.append(_SPREAD)
     scanned = judged
     if options.unique_keys:
+        among = judged.where(acceptable)
         judged = flag_duplicates(
-            judged, options.unique_keys, "_is_repeated", among=judged.where(acceptable), spread=_SPREAD
+            judged, options.unique_keys, "_is_repeated", among=among, spread=_SPREAD, first_seen=first_seen
         )
         checks.append(unique_check(options.unique_keys, "_is_repeated", options.unique_severity))
         helpers.append("_is_repeated")
@@ -162,12 +171,38 @@ def annotate_all(
     checks: Sequence[Check] | None = None,
     options: Options = Options(),
     record_all: bool = False,
+    first_seen: DataFrame | None = None,
 ) -> DataFrame:
     """Annotated rows of several header groups; columns only some have are NULL elsewhere."""
-    parts = [annotate(f, contract, checks, options, record_all) for f in frames]
+    parts = [annotate(f, contract, checks, options, record_all, first_seen) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def annotate_batch(
+    frames: Sequence[DataFrame],
+    contract: Contract,
+    zones: Zones,
+    run_date: str,
+    checks: Sequence[Check] | None = None,
+    options: Options = Options(),
+    first_seen: DataFrame | None = None,
+) -> tuple[DataFrame, list[str], bool]:
+    """Annotated rows of a batch, why parts of it are refused whole, and whether all of it is.
+
+    With ``options.check_evolution`` a schema that must not join the stored one refuses the batch.
+    """
+    annotated = annotate_all(frames, contract, checks, options, first_seen=first_seen)
+    blocked = [diff_columns(f.columns, contract).blocking_reason for f in frames]
+    errors = sorted({b for b in blocked if b})
+    if options.check_evolution:
+        reason = _evolution_problem(frames[0].sparkSession, annotated, contract, zones, run_date)
+        if reason:
+            errors.append(reason)
+            kept = annotate_all(frames, contract, checks, options, record_all=True, first_seen=first_seen)
+            return refuse_all(kept, reason), errors, True
+    return annotated, errors, all(blocked)
+
+
 def refuse_all(annotated: DataFrame, reason: str) -> DataFrame:
     """The batch with every acceptable row refused for one reason."""
     free = F.col("rejection_layer").isNull()
@@ -201,17 +236,7 @@ def ingest_frames(
     date.fromisoformat(run_date)
     result = RunResult(contract.name, run_date, run_id or new_run_id())
     spark = frames[0].sparkSession
-    annotated = annotate_all(frames, contract, checks, options)
-
-    blocked = [diff_columns(f.columns, contract).blocking_reason for f in frames]
-    result.errors += sorted({b for b in blocked if b})
-    if options.check_evolution:
-        reason = _evolution_problem(spark, annotated, contract, zones, run_date)
-        if reason:
-            result.errors.append(reason)
-            annotated = refuse_all(annotate_all(frames, contract, checks, options, record_all=True), reason)
-            blocked = [reason]
-
+    annotated, result.errors, refused = annotate_batch(frames, contract, zones, run_date, checks, options)
     if options.keep:
         annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -220,12 +245,7 @@ def ingest_frames(
         if options.keep:
             annotated.unpersist()
 
-    for name, value in counts.items():
-        setattr(result, name, int(value))
-    if all(blocked):
-        result.status = FAILED
-    else:
-        result.status = SUCCESS if result.quarantined == 0 else PARTIAL
+    result.close(counts, refused)
     write_records(audit_row(spark, result), zones.audit, run_date)
     return result
 
@@ -258,17 +278,14 @@ def write_outcomes(
         valid_rows(annotated), zones.dataset, run_date, run_id, options.hash_columns
     )
     refused = add_quarantine_columns(refused_rows(annotated), run_id)
-    write_date(audited, zones.valid, part, options.partition_columns)
-    write_date(refused, zones.quarantine, part)
-
-    def written(root: str, schema: T.StructType) -> DataFrame:
-        return annotated.sparkSession.read.schema(schema).parquet(f"{root}/dt={part}")
-
-    stored_valid = written(zones.valid, audited.schema)
-    stored_refused = written(zones.quarantine, refused.schema)
-    outcomes = stored_valid.select(F.lit(None).cast("string").alias("rejection_layer"), "dq_status")
-    outcomes = outcomes.unionByName(stored_refused.select("rejection_layer", "dq_status"))
-    counts = outcomes.agg(*batch_metrics()).first().asDict()
+    # Both writes count their rows on the way: every row is in one of them.
+    counted = [Observation(), Observation()]
+    valid_counts, refused_counts = ([m.alias(n) for n, m in metrics.items()] for metrics in split_metrics())
+    write_date(audited.observe(counted[0], *valid_counts), zones.valid, part, options.partition_columns)
+    write_date(refused.observe(counted[1], *refused_counts), zones.quarantine, part)
+    counts = counted[0].get | counted[1].get
+    counts = {"read": counts["valid"] + counts["schema_rejected"] + counts["dq_failed"], **counts}
+    stored_refused = annotated.sparkSession.read.schema(refused.schema).parquet(f"{zones.quarantine}/dt={part}")
     if not options.escalate:
         result.breach = over_threshold(counts)
     context = ["source_file"] if "source_file" in stored_refused.columns else []

@@ -1,7 +1,7 @@
 """What every query must return, as SQL over the same tables.
 
 Written from the semantics of the operators, not from their implementation: plain joins,
-``CASE`` and window functions.  ``loan_model`` has none, because a fit is iterative.
+``CASE`` and window functions; a fit is unrolled pass by pass.
 """
 
 from __future__ import annotations
@@ -481,6 +481,50 @@ def _pairs() -> str:
     )
 
 
+def _fitted(passes: int = 12) -> str:
+    """Newton's method pass by pass, as in textbooks: sums over the training rows, then elimination
+    without exchange of rows (the matrix is positive definite), then substitution backwards."""
+    names = ["1.0::double", *[f"{c}::double" for c in MATRIX_COLUMNS.split(", ")[1:-1]]]
+    n = len(names)
+    parts = [
+        f"train as materialized (select {', '.join(f'{x} as x{i}' for i, x in enumerate(names))}, default_flag::double as y "
+        f"from features where not {IS_TEST.format('loan_id')})",
+        f"beta0 as materialized (select {', '.join(f'0.0::double as b{i}' for i in range(n))})",
+    ]
+    for k in range(passes):
+        z = " + ".join(f"b{i} * x{i}" for i in range(n))
+        sums = [f"sum(w * x{i} * x{j}) + {int(i == j and i > 0)} as a{i}_{j}" for i in range(n) for j in range(n)]
+        sums += [f"sum((p - y) * x{i}) + {int(i > 0)} * any_value(b{i}) as a{i}_{n}" for i in range(n)]
+        parts.append(
+            f"pass{k} as materialized (select {', '.join(sums)} from (select *, p * (1 - p) as w from "
+            f"(select *, 1 / (1 + exp(-({z}))) as p from train, beta{k})))"
+        )
+        before = f"pass{k}"
+        for c in range(n):
+            rows = [
+                f"a{i}_{j} - a{i}_{c} / a{c}_{c} * a{c}_{j} as a{i}_{j}" if i > c and j > c else f"a{i}_{j}"
+                for i in range(n)
+                for j in range(n + 1)
+            ]
+            parts.append(f"pass{k}_{c} as materialized (select {', '.join(rows)} from {before})")
+            before = f"pass{k}_{c}"
+        for c in reversed(range(n)):
+            known = " ".join(f"- a{c}_{j} * s{j}" for j in range(c + 1, n))
+            parts.append(f"step{k}_{c} as materialized (select *, (a{c}_{n} {known}) / a{c}_{c} as s{c} from {before})")
+            before = f"step{k}_{c}"
+        moved = ", ".join(f"b{i} - s{i} as b{i}" for i in range(n))
+        parts.append(f"beta{k + 1} as materialized (select {moved} from beta{k}, {before})")
+    z = " + ".join(f"b{i} * {x}" for i, x in enumerate(names))
+    return ",\n".join(parts) + f""",
+fitted as materialized (select features.*, 1 / (1 + exp(-({z}))) as p from features, beta{passes}),
+scored as materialized (
+  select *, case when risk_score >= 750 then 'A - Low Risk' when risk_score >= 650 then 'B - Medium Risk'
+      when risk_score >= 550 then 'C - High Risk' else 'D - Very High Risk' end as risk_tier,
+    case when risk_score >= 750 then 'Approve' when risk_score >= 650 then 'Approve with conditions'
+      when risk_score >= 550 then 'Manual review' else 'Reject' end as decision
+  from (select *, trunc((1 - p) * 600 + 300)::int as risk_score from fitted))"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "enforce_customer": f"""with {JUDGED}
@@ -712,6 +756,39 @@ def all_oracles() -> dict[str, str]:
               count_if(d)::bigint as dq_failed, count_if(not s and not d)::bigint as valid from outcomes""",
         "contract_table": f"""with {DELIVERED}, c as (select {_clean("c_mktsegment")} as c_mktsegment from delivered)
             select c_mktsegment, count(*) as rows from c where c_mktsegment is not null group by all""",
+        "stream_unique": """with r as (
+              select 1 as wave, o_orderkey as k, false as again from orders where o_orderkey % 4 <> 0
+              union all select 2, o_orderkey, o_orderkey % 5 = 1 from orders where o_orderkey % 4 = 0
+              union all select 2, o_orderkey, true from orders where o_orderkey % 5 = 1
+              union all select 3, o_orderkey, true from orders where o_orderkey % 7 = 2)
+            select wave, case when again then 'o_orderkey__unique' else '' end as dq_failed_checks, count(*) as rows,
+              sum(k)::bigint as key_sum from r group by all""",
+        "stream_evolution": """with n as (select count(*)::bigint as n from part)
+            select '2024-01-01' as run_date, 'SUCCESS' as status, n as valid, 0::bigint as schema_rejected from n
+            union all select '2024-01-02', 'FAILED', 0, n from n""",
+        "stream_verified": """with nations as (
+              select c_nationkey as n, c_nationkey % 7 <> 6 and c_nationkey % 4 <> 1 as claimed, c_nationkey % 11 <> 3 as sound
+              from customer group by all),
+            checks as (
+              select 'nation_' || lpad(n::varchar, 8, '0') || '.csv' as file_name, 'PASS' as file_arrived, 'PASS' as filename_pattern,
+                case when claimed then 'PASS' else 'FAIL' end as manifest_present,
+                case when claimed then case when sound then 'PASS' else 'FAIL' end end as manifest_parseable,
+                case when claimed and sound then case when n % 5 = 0 then 'FAIL' else 'PASS' end end as checksum_match,
+                case when claimed and sound then 'PASS' end as row_count_match,
+                case when claimed and sound then 'PASS' end as file_size_match
+              from nations)
+            select *, error_count = 0 as passed from (select *, ((manifest_present = 'FAIL')::int
+              + coalesce((manifest_parseable = 'FAIL')::int, 0) + coalesce((checksum_match = 'FAIL')::int, 0))::int as error_count from checks)""",
+        "loan_model": f"""with {FEATURES}, {_fitted()}
+            select loan_id, round(p, 8) as default_probability, (p > 0.5)::int::double as prediction, risk_score, risk_tier, decision
+            from scored""",
+        "loan_assessment": f"""with {FEATURES}, {_fitted()},
+            test as (select p, default_flag as y from scored where {IS_TEST.format('loan_id')}),
+            ranks as (select *, rank() over (order by p) + (count(*) over (partition by p) - 1) / 2 as r from test),
+            sums as (select sum(r) filter (y = 1) as s, count(*) filter (y = 1) as n1, count(*) filter (y = 0) as n0,
+              avg(case when (p > 0.5)::int = y then 1.0::double else 0 end) as accuracy from ranks)
+            select decision, count(*) as rows, round(any_value(accuracy), 9) as accuracy,
+              round(any_value((s - n1 * (n1 + 1) / 2) / (n1 * n0)), 6) as area_under_roc from scored, sums group by decision""",
         "loan_fit": f"""with {FEATURES},
             n as (select count(*) as train_rows from features where not {IS_TEST.format('loan_id')})
             select unnest(['intercept', 'late_payment_ratio', 'missed_payment_count', 'emi_income_ratio', 'income', 'credit_score',

@@ -27,6 +27,7 @@ from tidegate.operators.model import (
     with_split,
 )
 from tidegate.plans import ingest, staging
+from tidegate.plans.risk import assess
 from tidegate.plans.workspace import new_folder
 from tidegate.sinks.zones import (
     Zones,
@@ -41,6 +42,7 @@ from tidegate.sources.landing import list_files, read_landing
 from tidegate.sources.loans import read_borrowers, read_loans, read_repayments
 from tidegate.sources.synthetic import employees, payroll
 from tidegate.sources.zones import read_partition, read_zone
+from tidegate.streaming.arrivals import pair_arrivals, read_verdicts, start_verification, stream_files, stream_manifests
 from tidegate.streaming.landing import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -625,7 +627,19 @@ def loan_model(spark: SparkSession, sf: str) -> DataFrame:
     marked = spark.read.parquet(folder)
     model = fit(marked.where(F.col("split") == "train"))
     decided = with_decision(model.predict(marked))
-    return decided.select("loan_id", "default_probability", "prediction", "risk_score", "risk_tier", "decision")
+    probability = F.round("default_probability", 8).alias("default_probability")
+    return decided.select("loan_id", probability, "prediction", "risk_score", "risk_tier", "decision")
+
+
+@query
+def loan_assessment(spark: SparkSession, sf: str) -> DataFrame:
+    """The loan job as a whole: quality on the test rows, and the rows per decision."""
+    folder = new_folder(spark, "loan-features")
+    _features(spark, sf).write.parquet(folder)
+    made = assess(spark.read.parquet(folder))
+    counts = made.scored.groupBy("decision").agg(F.count("*").alias("rows"))
+    quality_of = [F.lit(round(made.accuracy, 9)).alias("accuracy"), F.lit(round(made.area_under_roc, 6)).alias("area_under_roc")]
+    return counts.select("decision", "rows", *quality_of)
 
 
 @query
@@ -1030,3 +1044,86 @@ def stream_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What the stream's batches read and wrote, all together."""
     stored = spark.read.json(f"{_streamed(spark, sf).audit}/dt={RUN_DATE}")
     return stored.groupBy("dataset", "status").agg(*[F.sum(c).alias(c) for c in ("read", "schema_rejected", "dq_failed", "valid")])
+
+
+@query
+def stream_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Order keys that come again, within a micro-batch, in a later one, and in a later run of the stream."""
+    base = new_folder(spark, "stream-unique")
+    k = F.col("o_orderkey")
+    orders = _table(spark, sf, "orders").select("o_orderkey")
+    again = orders.where(k % 5 == 1)
+    contract = Contract.define("orders", mandatory="o_orderkey BIGINT, wave INT")
+    zones, options = Zones(f"{base}/zones", "orders"), ingest.Options(unique_keys=["o_orderkey"])
+    waves = [orders.where(k % 4 != 0), orders.where(k % 4 == 0).unionByName(again), orders.where(k % 7 == 2)]
+    for n, rows in enumerate(waves, 1):
+        rows.select("o_orderkey", F.lit(n).alias("wave")).write.mode("append").option("header", True).csv(f"{base}/landing")
+        start_ingest(spark, f"{base}/landing", contract, zones, RUN_DATE, f"{base}/checkpoint", None, options).awaitTermination()
+    valid = read_partition(spark, zones.valid, RUN_DATE)
+    return valid.groupBy("wave", "dq_failed_checks").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+
+
+@query
+def stream_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Another type on the second day: the stream's batches are refused like those of the batch job."""
+    base = new_folder(spark, "stream-evolution")
+    write_csv(_table(spark, sf, "part").select("p_partkey", "p_size"), f"{base}/landing")
+    zones = Zones(f"{base}/zones", "part")
+    for day, kind in enumerate(("STRING", "DOUBLE"), 1):
+        contract = Contract.define("part", mandatory=f"p_partkey BIGINT, p_size {kind}")
+        start_ingest(spark, f"{base}/landing", contract, zones, f"2024-01-0{day}", f"{base}/checkpoint-{day}").awaitTermination()
+    stored = spark.read.json(zones.audit)
+    return stored.groupBy("run_date", "status").agg(F.sum("valid").alias("valid"), F.sum("schema_rejected").alias("schema_rejected"))
+
+
+@query
+def stream_verified(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and manifests that arrive apart: some manifests never come, some too late, some are broken
+    or wrong.  File ``n`` comes at hour ``n``; a pair at hour 1000 lets the others' time run out."""
+    base = new_folder(spark, "arrivals")
+    customers = _table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n")
+
+    def deliver(rows: DataFrame) -> None:
+        rows.repartition("n").write.mode("append").partitionBy("n").option("header", True).csv(f"{base}/files")
+
+    def number(path: Column) -> Column:
+        return F.regexp_extract(path, "/n=([0-9]+)/", 1).cast("int")
+
+    def name(path: Column) -> Column:
+        return F.concat(F.lit("nation_"), F.lpad(number(path).cast("string"), 8, "0"), F.lit(".csv"))
+
+    def claim(of: str) -> None:
+        facts = file_facts(spark, f"{base}/files/{of}").withColumn("n", number(F.col("file_path")))
+        claims = manifest_records(facts.withColumn("file_name", name(F.col("file_path"))), "v1", RUN_DATE)
+        claims = claims.withColumns(
+            {
+                "n": F.substring("filename", 8, 8).cast("int"),
+                "checksum": F.when(F.substring("filename", 8, 8).cast("int") % 5 == 0, "0").otherwise(F.col("checksum")),
+            }
+        )
+        document = F.when(F.col("n") % 11 == 3, "{broken").otherwise(F.to_json(F.struct(*[c for c in claims.columns if c != "n"])))
+        sent = claims.where(F.col("n") % 7 != 6).select("n", document.alias("value")).repartition("n")
+        sent.write.mode("append").partitionBy("n").text(f"{base}/manifests")
+
+    def hour(path: Column, later: Column) -> Column:
+        seconds = (number(path) + later) * 3600
+        return F.timestamp_seconds(F.unix_timestamp(F.lit(f"{RUN_DATE} 00:00:00")) + seconds)
+
+    path = F.col("_metadata.file_path")
+
+    def verify() -> None:
+        files = stream_files(spark, f"{base}/files", "*.csv", name(path), hour(path, F.lit(0)))
+        late = F.when(number(path) % 4 == 1, 10).otherwise(1)
+        manifests = stream_manifests(spark, f"{base}/manifests", "*.txt", name(path), hour(path, late))
+        paired = pair_arrivals(files, manifests)
+        start_verification(paired, f"{base}/verdicts", f"{base}/checkpoint", F.lit("nation")).awaitTermination()
+
+    deliver(customers)
+    claim("*")
+    verify()
+    deliver(customers.limit(1).withColumn("n", F.lit(1000)))
+    claim("n=1000")
+    verify()
+    verdicts = read_verdicts(spark, f"{base}/verdicts").where(F.col("file_name") < "nation_00001000.csv")
+    counted = verdicts.withColumn("error_count", F.size("errors"))
+    return counted.drop("file_path", "errors", "dataset_name", "batch")

@@ -2,145 +2,167 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.contract import CORRUPT_COLUMN
 
-# Files up to this size are hashed inside the JVM as one value; larger ones are streamed.
-IN_MEMORY_BYTES = 64 * 1024 * 1024
-# What Spark can hold as one value, for files that only Spark reaches.
-SPARK_BYTES = 2**31 - 2**20
-_CHUNK = 8 * 1024 * 1024
+#: Bytes of a file that travel as one record, about; a longer line is a record of its own.
+PIECE_BYTES = 4096
 
 MANIFEST_SCHEMA = (
     "dataset_name STRING, version STRING, filename STRING, run_date STRING, checksum_algo STRING, "
     "checksum STRING, expected_rows BIGINT, file_size_bytes BIGINT, generated_at STRING"
 )
 
+ArrowMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-def _md5_streamer(chunk: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """md5 of files too large for one value, read in chunks; one file at a time per task.
 
-    The function is made here so that it travels to the workers by value and they need nothing
-    but the standard library, pandas and pyarrow.
+def _piecemaker(piece_bytes: int) -> ArrowMap:
+    """Lines of splits, in order, as pieces: (file, size, start of the split, number, lines, bytes).
+
+    The functions are made here so that they travel to the workers by value and those need nothing
+    but numpy and pyarrow.
     """
 
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
 
-        from pyarrow import fs
+        names = ["file_path", "size", "start", "number", "lines", "content"]
+        split, number, held, size = None, 0, [], 0
+        rows: list[tuple] = []
 
-        for batch in batches:
-            sums = []
-            for path in batch["file_path"]:
-                digest = hashlib.md5()
-                filesystem, inner = fs.FileSystem.from_uri(path)
-                with filesystem.open_input_stream(inner) as source:
-                    while piece := source.read(chunk):
-                        digest.update(piece)
-                sums.append(digest.hexdigest())
-            yield batch[["file_path"]].assign(checksum=sums)
+        def flush() -> None:
+            nonlocal number, held, size
+            if held:
+                rows.append((*split, number, len(held), b"\n".join(held)))
+                number, held, size = number + 1, [], 0
 
-    return stream
+        def sent() -> pa.RecordBatch:
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
+        for batch in batches:
+            paths, sizes, starts, lines = batch.columns
+            codes = paths.dictionary_encode().indices.to_numpy()
+            begin = starts.to_numpy()
+            turns = np.flatnonzero((codes[1:] != codes[:-1]) | (begin[1:] != begin[:-1])) + 1
+            for a, b in zip([0, *turns.tolist()], [*turns.tolist(), len(codes)], strict=True):
+                here = (paths[a].as_py(), sizes[a].as_py(), int(begin[a]))
+                if here != split:
+                    flush()
+                    split, number = here, 0
+                for line in lines.slice(a, b - a).to_pylist():
+                    held.append(line)
+                    size += len(line) + 1
+                    if size >= piece_bytes:
+                        flush()
+            if rows:
+                yield sent()
+        flush()
+        if rows:
+            yield sent()
+
+    return make
+
+
+def _folder() -> ArrowMap:
+    """md5 and lines of each file from its pieces, which come file by file and in order.
+
+    Lines come without what ends them, a line feed, and without a byte order mark in front of the
+    first.  The size of the file tells which of the two stood there, so one digest is kept with the
+    mark and one without.  A size that neither explains means that the file has changed: an error.
+    """
 
-def _not_opened() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The files that Python cannot open; nothing is read."""
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
 
-        def opens(path: str) -> bool:
-            try:
-                filesystem, inner = fs.FileSystem.from_uri(path)
-                filesystem.open_input_stream(inner).close()
-            except (OSError, ValueError, NotImplementedError):
-                return False
-            return True
+        mark = b"\xef\xbb\xbf"
+        path, size, total, lines, digests = None, 0, 0, 0, []
+
+        def closed() -> pa.RecordBatch:
+            missing = size - total
+            if missing not in (0, 1, 3, 4):
+                raise OSError(f"{path} changed while it was read: {total} of {size} bytes")
+            digest = digests[missing >= 3]
+            if missing % 3 == 1:
+                digest.update(b"\n")
+            values = [path], [size], [digest.hexdigest()], [lines]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64())
+            arrays = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=["file_path", "size", "checksum", "lines"])
 
         for batch in batches:
-            yield batch[[not opens(path) for path in batch["file_path"]]]
+            columns = [batch.column(n).to_pylist() for n in ("file_path", "size", "lines", "content")]
+            for here, of, counted, content in zip(*columns, strict=True):
+                if here != path:
+                    if path is not None:
+                        yield closed()
+                    path, size, total, lines, digests = here, of, 0, 0, [hashlib.md5(), hashlib.md5(mark)]
+                elif lines:
+                    content = b"\n" + content
+                for digest in digests:
+                    digest.update(content)
+                total += len(content)
+                lines += counted
+        if path is not None:
+            yield closed()
+
+    return fold
 
-    return probe
+
+def decoded_path(path: Column) -> Column:
+    """A path from file metadata, where some characters are written as codes, as it is."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def file_facts(
-    spark: SparkSession,
-    path: str | list[str],
-    pattern: str = "*.csv",
-    in_memory_bytes: int = IN_MEMORY_BYTES,
+    spark: SparkSession, path: str | list[str], pattern: str = "*.csv", piece_bytes: int = PIECE_BYTES
 ) -> DataFrame:
     """``(file_path, file_name, file_size_bytes, checksum, data_rows)`` for every file.
 
-    Files above ``in_memory_bytes`` are streamed by Python; those that it cannot open, which a small
-    job finds out at once, are hashed by Spark as one value.  ``checksum`` is NULL only for what is
-    beyond SPARK_BYTES there.  A file that fails while it is read fails the job.  ``data_rows`` counts
-    physical lines without the header.  Lines are counted over file splits
-    with partial aggregation, so one huge file is shared by many tasks.
+    One way for files of any size on any file system that Spark reads: splits are read by all tasks
+    and cut into pieces of whole lines, and the pieces of a file, sorted by their place, are folded
+    into its md5 by one task that holds a few of them at a time.  ``data_rows`` counts physical lines
+    without the header.  A file that fails or changes while it is read fails the job.
     """
-
-    def files() -> DataFrame:
-        reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        return reader.option("recursiveFileLookup", True).load(path)
-
-    file_path = F.col("_metadata.file_path").alias("file_path")
-    no_size, no_sum, no_lines = (
-        F.lit(None).cast("bigint").alias("size"),
-        F.lit(None).cast("string").alias("checksum"),
-        F.lit(0).cast("bigint").alias("lines"),
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
+    meta = F.col("_metadata")
+    lines = spark.read.options(lineSep="\n", **options).text(path).select(
+        meta["file_path"].alias("file_path"),
+        meta["file_size"].alias("size"),
+        meta["file_block_start"].alias("start"),
+        F.col("value").cast("binary").alias("line"),
     )
-    # Scans skip files of zero bytes, so names come from the file listing Spark has made anyway.
-    named = spark.createDataFrame([(p,) for p in files().inputFiles()], "file_path string").select(
+    pieces = lines.mapInArrow(
+        _piecemaker(piece_bytes), "file_path string, size long, start long, number long, lines long, content binary"
+    )
+    in_order = pieces.repartition("file_path").sortWithinPartitions("file_path", "start", "number")
+    folded = in_order.mapInArrow(_folder(), "file_path string, size long, checksum string, lines long")
+    # Scans skip files of zero bytes, so names come from the listing that Spark has made anyway.
+    names = spark.read.format("binaryFile").options(**options).load(path).inputFiles()
+    named = spark.createDataFrame([(p,) for p in names], "file_path string").select(
         F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path"),
         F.lit(0).cast("bigint").alias("size"),
-        no_sum,
-        no_lines,
-    )
-    listed = named.unionByName(files().select(file_path, F.col("length").alias("size"), no_sum, no_lines))
-    small = (
-        files()
-        .where(F.col("length") <= in_memory_bytes)
-        .select(file_path, no_size, F.md5("content").alias("checksum"), no_lines)
-    )
-    over = files().where(F.col("length") > in_memory_bytes).select(file_path, "path", "length")
-    unopened = over.repartition("file_path").mapInPandas(_not_opened(), over.schema).collect()
-    held = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in unopened if r.length <= SPARK_BYTES]
-    if held:
-        there = spark.read.format("binaryFile").load(held)
-        small = small.unionByName(there.select(file_path, no_size, F.md5("content").alias("checksum"), no_lines))
-    other = spark.createDataFrame([(r.file_path,) for r in unopened], "file_path string")
-    large = (
-        over.join(other, "file_path", "left_anti")
-        .select("file_path")
-        .repartition("file_path")
-        .mapInPandas(_md5_streamer(_CHUNK), "file_path string, checksum string")
-        .select("file_path", no_size, "checksum", no_lines)
-    )
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .text(path)
-        .select(file_path, no_size, no_sum, F.lit(1).cast("bigint").alias("lines"))
+        F.lit(None).cast("string").alias("checksum"),
+        F.lit(0).cast("bigint").alias("lines"),
     )
-    last = F.element_at(F.split("file_path", "/"), -1)
     return (
-        listed.unionByName(small)
-        .unionByName(large)
-        .unionByName(lines)
+        named.unionByName(folded)
         .groupBy("file_path")
         .agg(
             F.max("size").alias("file_size_bytes"),
-            F.when(F.max("size") == 0, F.md5(F.lit(""))).otherwise(F.max("checksum")).alias("checksum"),
-            (F.sum("lines") - 1).alias("data_rows"),
+            F.coalesce(F.max("checksum"), F.md5(F.lit(""))).alias("checksum"),
+            (F.max("lines") - 1).alias("data_rows"),
         )
         .select(
             "file_path",
-            F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))).alias("file_name"),
+            decoded_path(F.element_at(F.split("file_path", "/"), -1)).alias("file_name"),
             "file_size_bytes",
             "checksum",
             "data_rows",

@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 
 
 def _pearson(x: str, y: str) -> Column:
-    """Correlation over rows where both are given; NULL when either is constant there.
-
-    One co-moment aggregate per pair, which passes rows by that lack either value and whose parts
-    are merged around their means.  Of a column with itself only the spread has to be known.
-    """
+    """Correlation over rows where both are given; NULL when either is constant there.  Of a column
+    with itself only the spread has to be known."""
     a, b = F.col(x).cast("double"), F.col(y).cast("double")
     if x == y:
         return F.when(F.min(a) < F.max(a), 1.0)
-    return F.corr(a, b)
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

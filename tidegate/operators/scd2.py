@@ -53,13 +53,15 @@ def merge_current(
     tracked: Sequence[str],
     run_date: str,
     close_missing: bool = False,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Versions that come out of the open ones and a snapshot.
 
     One full outer join on the key, null-safe; per key it yields the kept, the closed, or the
     closed and the new version.  Columns are matched by name: one that only the snapshot has is NULL
     in older versions, one that only the open versions have is NULL in new ones.  Of several rows of
-    a key in the snapshot the one with the smallest row hash counts.
+    a key in the snapshot the one with the smallest row hash counts; ``one_per_key`` says that there
+    is only one, which saves a shuffle.
     """
     content = [c for c in current.columns if c not in VERSION_COLUMNS]
     content += [c for c in snapshot.columns if c not in content]
@@ -71,8 +73,12 @@ def merge_current(
         return [F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
 
     # Rows of a key meet as structs, which compare NULLs as equal; the join keeps their partitioning.
-    one = snapshot.groupBy(F.struct(*keys).alias("_new_key")).agg(F.min_by(F.struct(*given), row_hash(given)).alias("_row"))
-    fresh = open_versions(one.select("_new_key", "_row.*"), tracked, run_date)
+    key = F.struct(*keys).alias("_new_key")
+    if one_per_key:
+        one = snapshot.select(key, "*")
+    else:
+        one = snapshot.groupBy(key).agg(F.min_by(F.struct(*given), row_hash(given)).alias("_row")).select("_new_key", "_row.*")
+    fresh = open_versions(one, tracked, run_date)
     old = current.select(F.struct(*keys).alias("_old_key"), F.struct(*filled(current, fresh)).alias("_old"))
     new = fresh.select("_new_key", F.struct(*filled(fresh, current)).alias("_new"))
     pairs = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
@@ -106,3 +112,64 @@ def merge(
     current = before.where(F.col("is_current"))
     merged = merge_current(current, snapshot, keys, tracked, run_date, close_missing)
     return merged.unionByName(history, allowMissingColumns=True)
+
+
+def backfill(
+    dimension: DataFrame,
+    snapshot: DataFrame,
+    following: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    run_date: str,
+    next_date: str,
+) -> DataFrame:
+    """The whole dimension after taking in the snapshot of a date before its last one.
+
+    ``next_date`` is the first date after ``run_date`` that the dimension has taken in, ``following`` its
+    snapshot.  Snapshots are complete: a key that one lacks is gone on that date, as with
+    ``close_missing``.  The result is that of the dates in their order: the version in force on
+    ``run_date`` ends there where the snapshot says otherwise, the snapshot holds until ``next_date``,
+    and what was in force then starts then, or goes on where it is equal.  Of several rows of a key in a
+    snapshot the one with the smallest row hash counts.  Only versions that touch the time between the
+    two dates meet the snapshots in the join; all others pass by.
+    """
+    day, until = _day(run_date), _day(next_date)
+    start, end = F.col("effective_from"), F.col("effective_to")
+    near = (start <= until) & (end.isNull() | (end > day))
+    columns = dimension.columns
+    spans = (start < until) & (end.isNull() | (end > until))
+
+    def rows_of(df: DataFrame, name: str) -> DataFrame:
+        one = df.groupBy(F.struct(*keys).alias("_key")).agg(F.min_by(F.struct(*df.columns), row_hash(df.columns)).alias("_row"))
+        opened = open_versions(one.select("_key", "_row.*"), tracked, run_date)
+        return opened.select("_key", F.struct(*columns).alias(name))
+
+    # Before the later date at most one version of a key, on it at most one more.
+    sides = dimension.where(near).select(F.struct(*keys).alias("_key"), (start < until).alias("_before"), spans.alias("_spans"), F.struct(*columns).alias("_v"))
+    met = sides.groupBy("_key").agg(
+        F.min_by("_v", F.when(F.col("_before"), 1)).alias("_old"),
+        F.min_by("_v", F.when(~F.col("_before"), 1)).alias("_then"),
+        F.bool_or("_spans").alias("_spans"),
+    )
+    joined = met.join(rows_of(snapshot, "_new"), "_key", "full_outer").join(rows_of(following, "_next"), "_key", "left")
+    old, then, new = F.col("_old"), F.col("_then"), F.col("_new")
+    same = old.isNotNull() & new.isNotNull() & (old["version_hash"] == new["version_hash"])
+    untouched = same | (old.isNull() & new.isNull())
+
+    def dated(version: Column, first: Column, last: Column) -> Column:
+        ended = version.withField("effective_from", first).withField("effective_to", last)
+        return ended.withField("is_current", last.isNull())
+
+    # What is in force on the later date; of a version that went on over it, the row delivered then.
+    went_on = F.coalesce(F.col("_spans"), F.lit(False))
+    tail = F.when(went_on, dated(F.coalesce("_next", old), until, old["effective_to"])).otherwise(then)
+    goes_on = new.isNotNull() & tail.isNotNull() & (tail["version_hash"] == new["version_hash"])
+    kept = [old, then]
+    changed = [
+        F.when(old.isNotNull(), dated(old, old["effective_from"], day)),
+        F.when(goes_on, dated(new, day, tail["effective_to"])).when(new.isNotNull(), dated(new, day, until)),
+        F.when(~goes_on, tail),
+    ]
+    versions = F.when(untouched, F.array(*kept)).otherwise(F.array(*changed))
+    touched = joined.select(F.inline(F.array_compact(versions))).select(*columns)
+    return dimension.where(~F.coalesce(near, F.lit(False))).unionByName(touched)

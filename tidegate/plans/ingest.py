@@ -40,7 +40,7 @@ from tidegate.operators.quality import (
     unique_check,
 )
 from tidegate.operators.skew import hot_values
-from tidegate.sinks.zones import Zones, write_date, write_records
+from tidegate.sinks.zones import Zones, clear_date, write_date, write_records
 from tidegate.sources.files import file_facts, read_manifests
 from tidegate.sources.landing import read_landing
 from tidegate.sources.zones import exists, latest_date, read_partition
@@ -368,8 +368,9 @@ def ingest_delivery(
 ) -> RunResult:
     """The daily job: find the file of ``run_date``, verify it against its manifest, ingest it.
 
-    A file that fails verification is not read.  The result says what went wrong, also when the
-    job itself fails, so that a caller can go on with other datasets.
+    A file that fails verification is not read, and what an earlier run of the date has left in the
+    zones goes.  The result says what went wrong, also when the job itself fails, so that a caller can
+    go on with other datasets.
     """
     day = date.fromisoformat(run_date)
     run_id = run_id or new_run_id()
@@ -383,7 +384,15 @@ def ingest_delivery(
             )
     except Exception as e:
         errors = [f"{type(e).__name__}: {e}"]
-    result = RunResult(contract.name, run_date, run_id, FAILED, errors=errors)
+    return _failed(spark, zones, run_date, run_id, errors)
+
+
+def _failed(spark: SparkSession, zones: Zones, run_date: str, run_id: str, errors: list[str]) -> RunResult:
+    """A run that took in nothing.  It owns its date like any other: what an earlier run of the date
+    has left in the zones goes, so that they never hold rows beside an audit row that says FAILED."""
+    result = RunResult(zones.dataset, run_date, run_id, FAILED, errors=errors)
+    for root in (zones.valid, zones.quarantine, zones.summary):
+        clear_date(spark, root, run_date)
     write_records(audit_row(spark, result), zones.audit, run_date)
     return result
 
@@ -435,9 +444,7 @@ def ingest_deliveries(
                 continue
         except Exception as e:
             errors = [f"{type(e).__name__}: {e}"]
-        failed = RunResult(contract.name, run_date, run_id, FAILED, errors=errors)
-        write_records(audit_row(spark, failed), zones.audit, run_date)
-        results[contract.name] = failed
+        results[contract.name] = _failed(spark, zones, run_date, run_id, errors)
     return results
 
 

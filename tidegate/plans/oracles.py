@@ -481,6 +481,21 @@ def _pairs() -> str:
     )
 
 
+#: Rows of each delivered dataset, and those whose id is a number.
+_DELIVERED_ROWS = "rows as (" + " union all ".join(
+    f"select '{t}' as dataset, count(*)::bigint as n, count_if({k} % 10 <> 3)::bigint as good from {t}"
+    for t, k in (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey"), ("region", "r_regionkey"))
+) + " union all select 'nation', 0, 0)"
+
+
+def _daily(run: int, taken: str, errors: str) -> str:
+    return f"""select {run} as run, dataset, case when dataset = '{taken}' then case when good = n then 'SUCCESS' else 'PARTIAL' end
+                else 'FAILED' end as status, case when dataset = '{taken}' then n else 0 end as read,
+              case when dataset = '{taken}' then good else 0 end as valid, case when dataset = '{taken}' then good else 0 end as held,
+              case dataset {errors} when 'supplier' then 'manifest_parseable' when 'region' then 'manifest_present'
+                when 'nation' then 'file_arrived' else '' end as errors from rows"""
+
+
 def _fitted(passes: int = 12) -> str:
     """Newton's method pass by pass, as in textbooks: sums over the training rows, then elimination
     without exchange of rows (the matrix is positive definite), then substitution backwards."""
@@ -789,6 +804,26 @@ def all_oracles() -> dict[str, str]:
               avg(case when (p > 0.5)::int = y then 1.0::double else 0 end) as accuracy from ranks)
             select decision, count(*) as rows, round(any_value(accuracy), 9) as accuracy,
               round(any_value((s - n1 * (n1 + 1) / 2) / (n1 * n0)), 6) as area_under_roc from scored, sums group by decision""",
+        "delivery_checks": """with nations as (
+              select n, n % 6 <> 0 as named, n % 7 <> 3 as claimed, n % 5 <> 4 as sound
+              from (select c_nationkey as n from customer union select 8)),
+            checks as (
+              select 'nation_' || case when named then lpad(n::varchar, 8, '0') else n::varchar end || '.csv' as file_name,
+                'PASS' as file_arrived, case when named then 'PASS' else 'FAIL' end as filename_pattern,
+                case when claimed then 'PASS' else 'FAIL' end as manifest_present,
+                case when claimed then case when sound then 'PASS' else 'FAIL' end end as manifest_parseable,
+                case when claimed and sound then 'PASS' end as checksum_match, case when claimed and sound then 'PASS' end as row_count_match,
+                case when claimed and sound then 'PASS' end as file_size_match
+              from nations)
+            select *, error_count = 0 as passed from (select *, ((filename_pattern = 'FAIL')::int + (manifest_present = 'FAIL')::int
+              + coalesce((manifest_parseable = 'FAIL')::int, 0))::int as error_count from checks)""",
+        "deliveries_job": f"""with {_DELIVERED_ROWS}
+            {_daily(1, "customer", "when 'part' then 'row_count_match'")} union all
+            {_daily(2, "part", "when 'customer' then 'row_count_match'")}""",
+        "delivery_job": f"""with {_DELIVERED_ROWS} {_daily(1, "customer", "when 'part' then 'row_count_match'")}""",
+        "contract_table_dates": """select make_date(2024, 1, d::bigint) as load_date, count(*) as rows, sum(o_orderkey)::bigint as key_sum
+            from orders, (select unnest([1, 2, 3]) as d) where o_orderkey % 4 >= d group by all""",
+        "scd2_backfill": _versions([DAY_1, DAY_2, DAY_3]),
         "loan_fit": f"""with {FEATURES},
             n as (select count(*) as train_rows from features where not {IS_TEST.format('loan_id')})
             select unnest(['intercept', 'late_payment_ratio', 'missed_payment_count', 'emi_income_ratio', 'income', 'credit_score',

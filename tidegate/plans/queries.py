@@ -31,17 +31,18 @@ from tidegate.plans.risk import assess
 from tidegate.plans.workspace import new_folder
 from tidegate.sinks.zones import (
     Zones,
+    add_table_date,
     declare_contract_table,
     declare_table,
     manifest_records,
     write_csv,
     write_date,
 )
-from tidegate.sources.files import file_facts, read_manifest_records
+from tidegate.sources.files import file_facts, read_manifest_records, read_manifests
 from tidegate.sources.landing import list_files, read_landing
 from tidegate.sources.loans import read_borrowers, read_loans, read_repayments
 from tidegate.sources.synthetic import employees, payroll
-from tidegate.sources.zones import read_partition, read_zone
+from tidegate.sources.zones import exists, read_partition, read_zone
 from tidegate.streaming.arrivals import pair_arrivals, read_verdicts, start_verification, stream_files, stream_manifests
 from tidegate.streaming.landing import start_ingest
 
@@ -1079,7 +1080,7 @@ def stream_evolution(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_verified(spark: SparkSession, sf: str) -> DataFrame:
     """Files and manifests that arrive apart: some manifests never come, some too late, some are broken
-    or wrong.  File ``n`` comes at hour ``n``; a pair at hour 1000 lets the others' time run out."""
+    or wrong.  File ``n`` comes at hour ``n``; a pair at hour 1002 lets the others' time run out."""
     base = new_folder(spark, "arrivals")
     customers = _table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n")
 
@@ -1121,9 +1122,151 @@ def stream_verified(spark: SparkSession, sf: str) -> DataFrame:
     deliver(customers)
     claim("*")
     verify()
-    deliver(customers.limit(1).withColumn("n", F.lit(1000)))
-    claim("n=1000")
+    deliver(customers.limit(1).withColumn("n", F.lit(1002)))
+    claim("n=1002")
     verify()
     verdicts = read_verdicts(spark, f"{base}/verdicts").where(F.col("file_name") < "nation_00001000.csv")
     counted = verdicts.withColumn("error_count", F.size("errors"))
     return counted.drop("file_path", "errors", "dataset_name", "batch")
+
+
+def _place_files(spark: SparkSession, folder: str, names: dict[str, str]) -> None:
+    """Move the single part file of each folder ``<folder>/<key>`` to the path that ``names`` gives it."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = jvm.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for key, path in names.items():
+        (part,) = [s.getPath() for s in files.listStatus(jvm.Path(f"{folder}/{key}")) if s.getPath().getName().startswith("part-")]
+        target = jvm.Path(path)
+        files.mkdirs(target.getParent())
+        files.delete(target, False)
+        if not files.rename(part, target):
+            raise OSError(f"cannot move {part} to {path}")
+
+
+def _deliver_nations(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """One file per nation under its delivery name, with its manifest beside it, and what is expected.
+
+    Names of every sixth lack the date, every seventh has no manifest, every fifth a broken one; the
+    file of nation 8 is empty.
+    """
+    folder = new_folder(spark, "delivered")
+    customers = _table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n")
+    customers.where("n <> 8").repartition("n").write.partitionBy("n").option("header", True).csv(f"{folder}/parts")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{folder}/parts/n=8")
+    keys = sorted({r.n for r in customers.select("n").distinct().collect()} | {8})
+    names = {n: f"nation_{n if n % 6 == 0 else f'{n:08d}'}.csv" for n in keys}
+    _place_files(spark, f"{folder}/parts", {f"n={n}": f"{folder}/landing/{name}" for n, name in names.items()})
+    facts = file_facts(spark, f"{folder}/landing")
+    claims = manifest_records(facts, "v1", RUN_DATE).withColumn("n", F.regexp_extract("filename", "([0-9]+)", 1).cast("int"))
+    document = F.when(F.col("n") % 5 == 4, '{"checksum": ').otherwise(F.to_json(F.struct(*[c for c in claims.columns if c != "n"])))
+    sent = claims.where("n % 7 <> 3").select("n", document.alias("value"))
+    sent.repartition("n").write.partitionBy("n").text(f"{folder}/documents")
+    manifests = {f"n={n}": f"{folder}/landing/{name[:-4]}_manifest.json" for n, name in names.items() if n % 7 != 3}
+    _place_files(spark, f"{folder}/documents", manifests)
+    expected = spark.createDataFrame([("nation", name) for name in names.values()], "dataset_name string, file_name string")
+    return f"{folder}/landing", expected
+
+
+@query
+def delivery_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and manifest documents as they lie in a landing folder: bad names, broken and missing
+    documents, an empty file."""
+    landing, expected = _deliver_nations(spark, sf)
+    verified = verify_files(expected, file_facts(spark, landing), read_manifests(spark, landing))
+    return verified.withColumn("error_count", F.size("errors")).drop("file_path", "errors", "dataset_name")
+
+
+def _delivered_datasets(spark: SparkSession, sf: str) -> tuple[str, list[Contract]]:
+    """Deliveries of five datasets of one day: in order, with a row too many claimed, with a broken
+    manifest, without one, and not at all."""
+    folder = new_folder(spark, "delivered")
+    stamp = RUN_DATE.replace("-", "")
+    keys = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey", "region": "r_regionkey"}
+    for name, key in keys.items():
+        value = F.when(F.col(key) % 10 == 3, "x").otherwise(F.col(key).cast("string")).alias("id")
+        _table(spark, sf, name).select(value).coalesce(1).write.option("header", True).csv(f"{folder}/parts/{name}")
+    _place_files(spark, f"{folder}/parts", {n: f"{folder}/landing/{n}/{n}_{stamp}.csv" for n in keys})
+    _claim(spark, folder, {"customer": 0, "part": 1, "supplier": None})
+    contracts = [Contract.define(n, mandatory="id BIGINT") for n in (*keys, "nation")]
+    return folder, contracts
+
+
+def _claim(spark: SparkSession, folder: str, claims: dict[str, int | None]) -> None:
+    """Manifests of datasets: with so many rows too many, or broken."""
+    made = new_folder(spark, "manifests")
+    for name, more in claims.items():
+        records = manifest_records(file_facts(spark, f"{folder}/landing/{name}"), "v1", RUN_DATE)
+        if more is None:
+            text = records.select(F.lit("{broken").alias("value"))
+        else:
+            wrong = records.withColumn("expected_rows", F.col("expected_rows") + more)
+            text = wrong.select(F.to_json(F.struct(*wrong.columns)).alias("value"))
+        text.coalesce(1).write.text(f"{made}/{name}")
+    stamp = RUN_DATE.replace("-", "")
+    _place_files(spark, made, {n: f"{folder}/landing/{n}/{n}_{stamp}_manifest.json" for n in claims})
+
+
+def _audited(spark: SparkSession, folder: str, contracts: list[Contract], run: int) -> DataFrame:
+    """What the audit says of each dataset, and the rows that its valid zone holds."""
+    rows = []
+    for contract in contracts:
+        zones = Zones(f"{folder}/lake", contract.name)
+        (said,) = spark.read.json(f"{zones.audit}/dt={RUN_DATE}").collect()
+        held = read_partition(spark, zones.valid, RUN_DATE).count() if exists(spark, f"{zones.valid}/dt={RUN_DATE}") else 0
+        kinds = ",".join(e.partition(":")[0] for e in said["errors"].split("; "))
+        rows.append((run, contract.name, said["status"], said["read"], said["valid"], held, kinds))
+    return spark.createDataFrame(rows, "run int, dataset string, status string, read long, valid long, held long, errors string")
+
+
+@query
+def deliveries_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job of five datasets, twice: the second time the manifest of the first dataset is
+    wrong, so that its date is emptied, and that of the second is right."""
+    folder, contracts = _delivered_datasets(spark, sf)
+    ingest.ingest_deliveries(spark, f"{folder}/landing", contracts, f"{folder}/lake", RUN_DATE)
+    first = _audited(spark, folder, contracts, 1)
+    _claim(spark, folder, {"customer": 5, "part": 0})
+    ingest.ingest_deliveries(spark, f"{folder}/landing", contracts, f"{folder}/lake", RUN_DATE)
+    return first.unionByName(_audited(spark, folder, contracts, 2))
+
+
+@query
+def delivery_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job of single datasets: one that passes, one that fails, one that is not there."""
+    folder, contracts = _delivered_datasets(spark, sf)
+    for contract in contracts:
+        ingest.ingest_delivery(spark, f"{folder}/landing", contract, Zones(f"{folder}/lake", contract.name), RUN_DATE)
+    return _audited(spark, folder, contracts, 1)
+
+
+@query
+def contract_table_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract whose table has another partition column than the folders; the third date is added
+    to the declared table by itself."""
+    base = new_folder(spark, "contract")
+    document = {
+        "dataset": {"name": "orders", "database": "tidegate_raw", "table": "orders_" + base[-12:], "partition_col": "load_date"},
+        "mandatory_columns": [{"name": "o_orderkey", "type": "bigint"}],
+    }
+    contract, zones = Contract.from_mapping(document), Zones(base, "orders")
+    keys = _table(spark, sf, "orders").select("o_orderkey")
+    name = None
+    for day in (1, 2, 3):
+        run_date = f"2024-01-0{day}"
+        rows = keys.where(F.col("o_orderkey") % 4 >= day).select(F.col("o_orderkey").cast("string"))
+        ingest.ingest_frames([rows], contract, zones, run_date)
+        if day == 2:
+            schema = read_partition(spark, zones.valid, run_date).drop("dt").schema
+            name = declare_contract_table(spark, contract, zones, schema)
+        if day == 3:
+            add_table_date(spark, name, zones.valid, run_date, "load_date")
+    return spark.table(name).groupBy("load_date").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+
+
+@query
+def scd2_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """The second day comes after the third: the same dimension as ``scd2_three_days``."""
+    second, third = _day(spark, sf, 13, 7), _day(spark, sf, 17, 1_000_000_007)
+    known = _merge(_first_day(spark, sf), third, "2024-01-03")
+    late = scd2.backfill(known, second, third, ["c_custkey"], SCD2_TRACKED, "2024-01-02", "2024-01-03")
+    return late.drop("version_hash")

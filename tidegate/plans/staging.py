@@ -57,7 +57,7 @@ def run_staging(
         versions = open_versions(snapshot, tracked, run_date)
     else:
         current = spark.read.parquet(f"{zones.current}/as_of={previous}")
-        versions = merge_current(current, snapshot, keys, tracked, run_date, close_missing)
+        versions = merge_current(current, snapshot, keys, tracked, run_date, close_missing, one_per_key=True)
     versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         versions.where("is_current").write.mode("overwrite").parquet(f"{zones.current}/as_of={run_date}")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.contract import Contract
+from tidegate.sources.zones import dates
 
 
 @dataclass(frozen=True)
@@ -58,6 +59,14 @@ def write_records(df: DataFrame, root: str, run_date: str) -> None:
     df.write.mode("overwrite").json(f"{root}/dt={run_date}")
 
 
+def clear_date(spark: SparkSession, root: str, run_date: str) -> None:
+    """Remove one date of a dataset, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/dt={run_date}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder) and not files.delete(folder, True):
+        raise OSError(f"cannot remove {root}/dt={run_date}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A headered CSV dataset, for consumers that want text."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -73,28 +82,35 @@ def declare_table(
         f"CREATE TABLE IF NOT EXISTS {table} ({ddl}, `{partition_column}` DATE) "
         f"USING parquet PARTITIONED BY (`{partition_column}`) LOCATION '{root}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    if partition_column == "dt":
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    else:
+        # Folders are named after dt; under another name each date is told its place.
+        for run_date in dates(spark, root, "dt"):
+            add_table_date(spark, table, root, run_date, partition_column)
 
 
 def declare_contract_table(spark: SparkSession, contract: Contract, zones: Zones, schema: T.StructType) -> str:
     """The valid zone under the database and table that the contract names; returns the full name.
 
-    The zone's folders are dates of ``dt``; a contract that asks for another column is refused.
+    The table's partition column is the contract's, whatever the zone's folders are called; a column
+    that the rows have themselves is refused.
     """
-    if contract.partition_column.lstrip("_") != "dt":
-        raise ValueError(f"zones are partitioned by dt, not {contract.partition_column}")
+    column = contract.partition_column.lstrip("_")
+    if column != "dt" and column in schema.fieldNames():
+        raise ValueError(f"{column} is a column of the rows, so it cannot be the date of the table")
     name = f"`{contract.table or contract.name}`"
     if contract.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{contract.database}`")
         name = f"`{contract.database}`.{name}"
-    declare_table(spark, name, zones.valid, schema)
+    declare_table(spark, name, zones.valid, schema, column)
     return name
 
 
-def add_table_date(spark: SparkSession, table: str, root: str, run_date: str) -> None:
+def add_table_date(spark: SparkSession, table: str, root: str, run_date: str, partition_column: str = "dt") -> None:
     """Register one date of a declared table without listing the others."""
     spark.sql(
-        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt = DATE '{run_date}') "
+        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (`{partition_column}` = DATE '{run_date}') "
         f"LOCATION '{root}/dt={run_date}'"
     )
 

@@ -71,11 +71,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _children(spark, path) is not None
 
 
+def dates(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of a date partition column, in order.  Looks at directory names only."""
+    prefix = f"{column}="
+    return sorted(n.removeprefix(prefix) for n in _children(spark, root) or [] if n.startswith(prefix))
+
+
 def latest_date(
     spark: SparkSession, root: str, column: str, before: str | None = None, besides: Collection[str] = ()
 ) -> str | None:
     """Latest value of a date partition column, before a date and apart from some if given.  Looks
     at directory names only."""
-    prefix = f"{column}="
-    dates = [n.removeprefix(prefix) for n in _children(spark, root) or [] if n.startswith(prefix)]
-    return max((d for d in dates if (before is None or d < before) and d not in besides), default=None)
+    known = dates(spark, root, column)
+    return max((d for d in known if (before is None or d < before) and d not in besides), default=None)

@@ -21,7 +21,7 @@ from tidegate.plans.ingest import (
 from tidegate.sinks.zones import Zones, add_table_date, declare_table, write_date, write_manifests
 from tidegate.sources.files import file_facts
 from tidegate.sources.landing import list_files, read_header, read_landing
-from tidegate.sources.zones import latest_date, read_partition, read_zone
+from tidegate.sources.zones import exists, latest_date, read_partition, read_zone
 
 CONTRACT = Contract.define(
     "people",
@@ -272,6 +272,25 @@ def test_several_deliveries_at_once(spark, tmp_path):
     assert read_partition(spark, Zones(str(tmp_path / "lake"), "one").valid, DAY).count() == 2
 
 
+def test_a_failed_rerun_owns_its_date(spark, tmp_path):
+    landing = tmp_path / "landing"
+    zones = Zones(str(tmp_path / "lake"), "people")
+    file = landing / "people" / "people_20240115.csv"
+    write(file, "1,HR,1,a@b", "x,HR,1,a@b")
+    fact = file_facts(spark, str(landing / "people"), file.name).first()
+    claim = {"checksum": fact["checksum"], "expected_rows": 2, "file_size_bytes": file.stat().st_size}
+    manifest = landing / "people" / "people_20240115_manifest.json"
+    manifest.write_text(json.dumps(claim))
+    assert ingest_delivery(spark, str(landing), CONTRACT, zones, DAY).valid == 1
+    manifest.write_text("{broken")
+    assert ingest_delivery(spark, str(landing), CONTRACT, zones, DAY).status == FAILED
+    for root in (zones.valid, zones.quarantine, zones.summary):
+        assert not exists(spark, f"{root}/dt={DAY}")
+    assert spark.read.json(zones.audit).first()["status"] == FAILED
+    manifest.write_text(json.dumps(claim))
+    assert ingest_delivery(spark, str(landing), CONTRACT, zones, DAY).valid == 1
+
+
 def test_a_failing_job_is_reported(spark, tmp_path):
     landing = tmp_path / "landing"
     zones = Zones(str(tmp_path / "lake"), "people")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidegate.operators.audit import add_audit_columns, add_row_hash
 from tidegate.operators.dedup import drop_repeated_rows, latest_per_key
 from tidegate.operators.evolution import compare_schemas
 from tidegate.operators.reconcile import reconcile_counts
-from tidegate.operators.scd2 import as_of, merge, open_versions
+from tidegate.operators.scd2 import as_of, backfill, merge, open_versions
 from tidegate.plans.ingest import ingest_frames
 from tidegate.plans.staging import read_current, read_dimension, reconcile, run_staging
 from tidegate.sinks.zones import Zones
@@ -79,6 +80,36 @@ def test_untracked_change_is_no_new_version(spark):
     assert versions(advance(dim, other, D2)) == versions(dim)
 
 
+@pytest.mark.parametrize("late", [D2, D3])
+def test_a_late_day_gives_what_the_order_gives(spark, late):
+    """Every life of a key over four days: absent, or one of two values."""
+    lives = list(itertools.product(["", "1", "2"], repeat=4))
+    days = [
+        spark.createDataFrame(
+            [(f"k{i}", life[d], f"note {d}") for i, life in enumerate(lives) if life[d]] + [(None, "1", f"null {d}")],
+            "id string, v string, note string",
+        )
+        for d in range(4)
+    ]
+    names = [D1, D2, D3, D4]
+
+    def taken(order):
+        dim = open_versions(days[0], ["v"], D1)
+        for d in order:
+            dim = advance(dim, days[d], names[d])
+        return dim
+
+    at = names.index(late)
+    rest = [d for d in (1, 2, 3) if d != at]
+    got = backfill(taken(rest), days[at], days[at + 1], ["id"], ["v"], late, names[at + 1])
+    want = taken([1, 2, 3])
+
+    def whole(dim):
+        return sorted(tuple(map(str, (r[c] for c in want.columns))) for r in dim.collect())
+
+    assert whole(got) == whole(want)
+
+
 def test_null_keys_are_a_key(spark):
     one = spark.createDataFrame([(None, "1", "n"), ("a", "1", "n")], "id string, v string, note string")
     dim = advance(open_versions(one, ["v"], D1), one, D2)

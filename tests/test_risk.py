@@ -139,6 +139,26 @@ def test_correlations(spark):
     assert said["gap"].startswith("Higher gap increases default risk (correlation 0.")
 
 
+def test_correlations_of_hard_columns(spark):
+    """Constants in several tasks, values far from zero, columns that never meet, NaN, and no rows."""
+    rng = np.random.default_rng(3)
+    n = 4000
+    far = 1e9 + rng.normal(size=n)
+    other = far + rng.normal(size=n)
+    data = [
+        (0.1, float(f), float(o), float(f) if i % 2 else None, None if i % 2 else float(o), float("nan") if i % 3 else float(o))
+        for i, (f, o) in enumerate(zip(far, other, strict=True))
+    ]
+    columns = ["const", "far", "other", "odd", "even", "third"]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in columns)).repartition(7)
+    m = {(r[0], r[1]): r[2] for r in correlation_matrix(df, columns).collect()}
+    assert m[("far", "other")] == pytest.approx(np.corrcoef(far, other)[0, 1], abs=1e-6)
+    assert m[("far", "third")] == pytest.approx(np.corrcoef(far[::3], other[::3])[0, 1], abs=1e-6)
+    assert all(m[("const", c)] is None for c in columns if c != "odd" and c != "even")
+    assert ("odd", "even") not in m or m[("odd", "even")] is None
+    assert correlation_matrix(df.limit(0), columns).collect() == []
+
+
 def _toy(spark, n=600):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(n, 2)) * [1.0, 3.0]

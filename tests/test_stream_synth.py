@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidegate.catalog import EMPLOYEE_MASTER, PAYROLL_TRANSACTIONS
 from tidegate.contract import Contract
 from tidegate.functions import checks as C
-from tidegate.plans.ingest import annotate, ingest_files
+from tidegate.plans.ingest import Options, annotate, ingest_files
 from tidegate.plans.workspace import new_folder
 from tidegate.sinks.zones import Zones
 from tidegate.sources.synthetic import PAYROLL_COLUMNS, employees, payroll
@@ -45,6 +45,58 @@ def test_stream_equals_batch_and_takes_only_new_files(spark, tmp_path):
     assert read_partition(spark, stream.valid, DAY).count() == before + 1
 
 
+def test_unique_keys_hold_across_batches_and_runs(spark, tmp_path):
+    landing, zones = tmp_path / "landing", Zones(str(tmp_path / "z"), "people")
+    landing.mkdir()
+    options = Options(unique_keys=["id"])
+
+    def take(day=DAY, checkpoint="check", **files):
+        for name, ids in files.items():
+            (landing / f"{name}.csv").write_text("id,department,score\n" + "".join(f"{i},HR,1\n" for i in ids))
+        start_ingest(spark, str(landing), CONTRACT, zones, day, str(tmp_path / checkpoint), None, options, files_at_once=1).awaitTermination()
+
+    def found(day=DAY):
+        rows = read_partition(spark, zones.valid, day).select("batch", "id", "dq_failed_checks").collect()
+        return sorted((r.batch, r.id, r.dq_failed_checks == "id__unique") for r in rows)
+
+    take(a=[1, 2, 3, 3])
+    assert found() == [(0, 1, False), (0, 2, False), (0, 3, True), (0, 3, True)]
+    take(b=[1, 4])
+    take(c=[4, 5, "x", "NA"])
+    later = [(i, r) for b, i, r in found() if b > 0]
+    assert sorted(later) == [(1, True), (4, False), (4, True), (5, False)]
+    # Batches that only clear the state write nothing; an empty run changes nothing.
+    before = found()
+    take()
+    assert found() == before
+    # Another date has its own keys, in the same state.
+    take("2024-01-16", d=[1, 5, 6])
+    assert [x[1:] for x in found("2024-01-16")] == [(1, False), (5, False), (6, False)]
+
+
+def test_a_replayed_batch_gives_the_same(spark, tmp_path):
+    landing, zones = tmp_path / "landing", Zones(str(tmp_path / "z"), "people")
+    landing.mkdir()
+    (landing / "a.csv").write_text("id,department,score\n1,HR,1\n2,HR,1\n")
+    args = (spark, str(landing), CONTRACT, zones, DAY, str(tmp_path / "check"), None, Options(unique_keys=["id"]))
+
+    def found():
+        rows = read_partition(spark, zones.valid, DAY).select("id", "dq_failed_checks").collect()
+        return sorted((r.id, r.dq_failed_checks) for r in rows)
+
+    start_ingest(*args).awaitTermination()
+    (landing / "b.csv").write_text("id,department,score\n2,HR,1\n3,HR,1\n")
+    start_ingest(*args).awaitTermination()
+    once = found()
+    assert once == [(1, ""), (2, ""), (2, "id__unique"), (3, "")]
+    # As if the job had died before the last batches were committed.
+    for n in (1, 2, 3):
+        for f in (tmp_path / "check" / "commits").glob(f"*{n}*"):
+            f.unlink()
+    start_ingest(*args).awaitTermination()
+    assert found() == once
+
+
 def test_generated_rows_depend_on_the_id_only(spark):
     ids = spark.range(500)
     a = employees(ids.repartition(1), "2024-01-15 08:00:00")

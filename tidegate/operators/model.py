@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.hashing import hash_bucket
@@ -17,7 +18,7 @@ from tidegate.operators.risk import LABEL, MODEL_FEATURES
 SPLIT_SEED = 42
 TEST_BUCKETS = 2
 #: The fit ends with the step whose expected gain, against the loss, is below this.
-TOLERANCE = 1e-12
+TOLERANCE = 1e-11
 #: A step is halved at most so often before the fit gives up.
 HALVINGS = 30
 
@@ -87,30 +88,37 @@ class _Point:
 
 
 def _point(rows: DataFrame, features: Sequence[str], label: str, weights: np.ndarray) -> _Point:
-    """One pass over the rows: one aggregate, a row of sums comes back."""
-    x: list[Column] = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    size = len(x)
-    y, z = F.col("_y"), F.col("_z")
-    score = sum((F.lit(float(w)) * c for w, c in zip(weights[1:], x[1:], strict=True)), F.lit(float(weights[0])))
-    named = rows.select(*[c.alias(f"_x{i}") for i, c in enumerate(x)], F.col(label).cast("double").alias("_y"), score.alias("_z"))
-    p = 1.0 / (1.0 + F.exp(-z))
-    judged = named.select("*", (p - y).alias("_error"), (p * (1.0 - p)).alias("_spread"))
-    upper = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = judged.agg(
-        F.count("*").alias("rows"),
-        # log(1 + exp(z)) - y z, without overflow
-        F.sum(F.greatest(z, F.lit(0.0)) - y * z + F.log1p(F.exp(-F.abs(z)))).alias("loss"),
-        *[F.sum(F.col("_error") * F.col(f"_x{i}")).alias(f"g{i}") for i in range(size)],
-        *[F.sum(F.col("_spread") * F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"h{i}_{j}") for i, j in upper],
-    ).first()
-    if not sums["rows"]:
+    """One pass over the rows: each task sums up its rows as matrices, the sums of all tasks come back."""
+    size = len(features) + 1
+    upper = np.triu_indices(size)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 + size + len(upper[0]))
+        for batch in batches:
+            *given, y = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            x = np.column_stack([np.ones(len(y)), *given])
+            z = x @ weights
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-z))
+            # log(1 + exp(z)) - y z, without overflow
+            loss = np.maximum(z, 0) - y * z + np.log1p(np.exp(-np.abs(z)))
+            curved = x.T @ (x * (p * (1 - p))[:, None])
+            total += np.concatenate(([len(y), loss.sum()], x.T @ (p - y), curved[upper]))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int64()), pa.array(total)], names=["place", "part"])
+
+    numbers = rows.select(*[F.col(c).cast("double") for c in (*features, label)])
+    sums = numbers.mapInArrow(summed, "place long, part double").groupBy("place").agg(F.sum("part").alias("part"))
+    total = np.zeros(2 + size + len(upper[0]))
+    for place, part in sums.collect():
+        total[place] = part
+    if not total[0]:
         raise ValueError("no complete training rows")
     penalty = np.r_[0.0, np.ones(size - 1)]
-    hessian = np.diag(penalty)
-    for i, j in upper:
-        hessian[i, j] = hessian[j, i] = sums[f"h{i}_{j}"] + (penalty[i] if i == j else 0.0)
-    gradient = np.array([sums[f"g{i}"] for i in range(size)]) + penalty * weights
-    return _Point(weights, sums["rows"], sums["loss"] + penalty @ weights**2 / 2, gradient, hessian)
+    hessian = np.zeros((size, size))
+    hessian[upper] = total[2 + size :]
+    hessian = hessian + np.triu(hessian, 1).T + np.diag(penalty)
+    gradient = total[2 : 2 + size] + penalty * weights
+    return _Point(weights, int(total[0]), total[1] + penalty @ weights**2 / 2, gradient, hessian)
 
 
 def fit(

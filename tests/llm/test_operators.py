@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -231,6 +233,27 @@ class TestLicences:
         assert licences.find_licences(docs, known.limit(0)).where("whole is null and size(notices) = 0").count() == 6
 
 
+    def test_neighbouring_words_are_made_equal_alike(self, spark):
+        texts = ["version version 2 v2 V2", "non commercial non commercial", "sub licence sub license", "  ", "version"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(licences.canonical(F.lower("t"))).collect()]
+        assert got == ["v v 2 v 2 v 2", "noncommercial noncommercial", "sublicense sublicense", "", "v"]
+
+    def test_whole_licences_by_digest(self, spark):
+        folder = Path("/usr/share/common-licenses")
+        files = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+        if not all((folder / f).exists() for f in files):
+            pytest.skip("no licence texts on this machine")
+        docs = []
+        for i, f in enumerate(files):
+            text = (folder / f).read_text(encoding="utf-8")
+            docs += [(10 * i, text), (10 * i + 1, re.sub(r"\bLICENSE\b", "Licence", text.upper())), (10 * i + 2, text + " more")]
+        found = licences.find_licences(spark.createDataFrame(docs, "doc_id long, text string"), licences.known_licences(spark))
+        whole = {k: v[0] for k, v in by_id(found, "whole").items()}
+        for i, name in enumerate(files.values()):
+            assert [whole[10 * i + k] for k in range(3)] == [name, name, None]
+
+
 class TestLanguage:
     def test_hard_texts(self, spark, hard_docs, hard_texts):
         train = spark.createDataFrame(

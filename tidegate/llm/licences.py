@@ -57,6 +57,23 @@ KNOWN = (
         "THIS SOFTWARE.",
     ),
 )
+# Whole licence texts by the SHA-256 of their canonical form.
+DIGESTS = (
+    ("Apache-2.0", "b26da4ca484ac09b65fe4c8008336324f6146bd0137f20c4f3199115b4e35bc3"),
+    ("Artistic-1.0-Perl", "748074a6b75acff75524019ae674bbe0673df584b124a5cd2b0db2ef4537f878"),
+    ("BSD-3-Clause", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", "92f195ae84ff559b03177551e6c1166f57d3cc30f5a7d806b4039e24906bd8de"),
+    ("GFDL-1.2", "ecc9d73d27981e1847fadde8b5fc33380c966b8303b54725c87da872354c90f8"),
+    ("GFDL-1.3", "bd53691acec857a07852a20a4d9257e17f4ca9eb116e3f04a36c40d4116e29be"),
+    ("GPL-1.0", "b4583e68db0c858fa1b9028c689e3bddd78f836f274e963327fa158ec729531d"),
+    ("GPL-2.0", "8ceef37851021afc07e4d5138e4c1c58b285e876796ca1a6cfa5eaa9ffaea599"),
+    ("GPL-3.0", "bc8bb69aa8f949d94a3db853dcd0b0d9d1eae303796d5c80cb9fd5c6dab3ce1e"),
+    ("LGPL-2.0", "f917eb230a461b72c0d7845f5737ef74651abb0524547082a9645bc154d5ecd4"),
+    ("LGPL-2.1", "06f44ebf9515e6c412985cf8f2c6b133e91f457a1f520a900164472a54c1dc58"),
+    ("LGPL-3.0", "99c1a85dc9c673acfd6a330c4a68bd319185c3d6b8f4888157bf159e2ee60285"),
+    ("MPL-1.1", "d176bfd3156f073d3283de58e1c5628ad6c9f102a669c3045d85a6562794e0cf"),
+    ("MPL-2.0", "d967acc6ac57ac0410b353c5ae5266cdc1affe6b50883a3da362e3028c5c1f19"),
+)
 # Words that count as equal, as (found, put in its place).
 EQUIVALENT = (
     ("licence", "license"),
@@ -81,10 +98,15 @@ BROADCAST_ROWS = 50_000
 
 
 def _same_words(words: Column) -> Column:
-    words = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+    """Words made equal one by one: each stands between spaces of its own, so neighbours are no hindrance."""
+
+    def apart(text: str) -> str:
+        return f" {text.replace(' ', '  ')} "
+
+    words = F.concat(F.lit(" "), F.replace(F.trim(words), F.lit(" "), F.lit("  ")), F.lit(" "))
     for found, put in EQUIVALENT:
-        words = F.replace(words, F.lit(f" {found} "), F.lit(f" {put} "))
-    return F.trim(words)
+        words = F.replace(words, F.lit(apart(found)), F.lit(apart(put)))
+    return F.trim(F.replace(words, F.lit("  "), F.lit(" ")))
 
 
 def without_copyright(text: Column) -> Column:
@@ -97,8 +119,9 @@ def canonical(lowered: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    """``licence`` and ``text`` of the built-in list."""
-    return spark.createDataFrame(list(KNOWN), "licence string, text string")
+    """The built-in list: ``licence`` with its ``text``, or the ``digest`` of its canonical form."""
+    rows = [(name, text, None) for name, text in KNOWN] + [(name, None, digest) for name, digest in DIGESTS]
+    return spark.createDataFrame(rows, "licence string, text string, digest string")
 
 
 def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -106,13 +129,17 @@ def find_licences(docs: DataFrame, known: DataFrame, text: str = "text", keep: S
     ``notices`` (array of (line, licence) of lines that are known texts as a whole, lines from 0).
 
     Texts are equal if their canonical forms are; an empty canonical form is none.  A form that
-    several known licences share counts as the first of them by name.  NULL texts have no lines.  The
+    several known licences share counts as the first of them by name.  ``known`` has ``licence`` and ``text``,
+    or in its place the ``digest`` of its form.  NULL texts have no lines.  The
     forms are joined by digest; only those found travel on, keyed by a hash of the text, so copies of
     a text share them.  Other columns take no part.
     """
     empty = F.sha2(F.lit(""), 256)
+    digest = F.sha2(canonical(without_copyright(F.col("text"))), 256)
+    if "digest" in known.columns:
+        digest = F.coalesce("digest", digest)
     found = (
-        known.select("licence", F.sha2(canonical(without_copyright(F.col("text"))), 256).alias("digest"))
+        known.select("licence", digest.alias("digest"))
         .where(F.col("digest") != empty)
         .groupBy("digest")
         .agg(F.min("licence").alias("licence"))

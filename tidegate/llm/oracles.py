@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tidegate.llm.licences import BETWEEN, COPYRIGHT, EQUIVALENT, KNOWN
+from tidegate.llm.licences import DIGESTS, KNOWN
+
+# What counts as one word, what stands between words, and which lines name a holder, stated anew.
+_SPELLINGS = (
+    ("licence", "license"), ("licenced", "licensed"), ("version", "v"), ("v2", "v 2"), ("v3", "v 3"),
+    ("non commercial", "noncommercial"), ("share alike", "sharealike"), ("sub license", "sublicense"),
+    ("merchantibility", "merchantability"), ("noninfringment", "noninfringement"),
+    ("organisation", "organization"), ("authorised", "authorized"),
+)
+_GAPS = r"[^\p{L}\p{N}]+"
+_HOLDER = (
+    r"(?m)^[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©)[^\n]*$"
+    r"|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+)
 
 
 def _quoted(text: str) -> str:
@@ -11,29 +24,30 @@ def _quoted(text: str) -> str:
 
 def _op4() -> str:
     def same(words: str) -> str:
-        out = f"' ' || trim({words}) || ' '"
-        for found, put in EQUIVALENT:
-            out = f"replace({out}, ' {found} ', ' {put} ')"
-        return f"trim({out})"
+        out = f"trim({words})"
+        for found, put in _SPELLINGS:
+            out = f"regexp_replace({out}, '\\b{found}\\b', '{put}', 'g')"
+        return out
 
     def form(text: str) -> str:
-        return same(f"regexp_replace({text}, {_quoted(BETWEEN)}, ' ', 'g')")
+        return same(f"regexp_replace({text}, {_quoted(_GAPS)}, ' ', 'g')")
 
     def lowered(text: str) -> str:
-        return f"regexp_replace(lower(coalesce({text}, '')), {_quoted(COPYRIGHT)}, ' ', 'g')"
+        return f"regexp_replace(lower(coalesce({text}, '')), {_quoted(_HOLDER)}, ' ', 'g')"
 
     values = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in KNOWN)
+    digests = ", ".join(f"({_quoted(k)}, {_quoted(d)})" for k, d in DIGESTS)
     return f"""
 with known as (
-  select form, min(licence) as licence
-  from (select licence, {form(lowered("text"))} as form from (values {values}) v(licence, text))
-  where form <> '' group by form),
+  select digest, min(licence) as licence
+  from (select licence, sha256({form(lowered("text"))}) as digest from (values {values}) v(licence, text)
+    union all select * from (values {digests}) d(licence, digest)) group by digest),
 docs as (select doc_id, {lowered("text")} as body from documents),
 lines as (select doc_id, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) - 1 as line_no from docs),
 notices as (
   select doc_id, count(*) as n, string_agg(line_no || ':' || licence, ',' order by line_no) as notices
-  from (select doc_id, line_no, {form("line")} as form from lines) join known using (form) group by doc_id),
-whole as (select doc_id, licence from (select doc_id, {form("body")} as form from docs) join known using (form))
+  from (select doc_id, line_no, sha256({form("line")}) as digest from lines) join known using (digest) group by doc_id),
+whole as (select doc_id, licence from (select doc_id, sha256({form("body")}) as digest from docs) join known using (digest))
 select doc_id, coalesce(licence, '') as whole_licence, coalesce(n, 0) as n_notices, coalesce(notices, '') as notices
 from docs left join whole using (doc_id) left join notices using (doc_id)"""
 

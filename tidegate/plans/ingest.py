@@ -2,8 +2,8 @@
 
 The delivered text is parsed once.  The annotated rows are kept (memory, then local disk) while
 the valid and the quarantine write use them.  With ``keep=False`` nothing is kept and the text is
-parsed once per write, which needs no executor disk.  Batch counts and the summary are read from
-what was written: a column or two of Parquet, not the text again.
+parsed once per write, which needs no executor disk.  Rows are counted while they are written; the
+summary is read from what was written: a column or two of Parquet, not the text again.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ class Options:
     check_evolution: bool = True
     uniform_header: bool = False
     keep: bool = True
-    #: Ingest files too large to be hashed where only Spark reaches them, in spite of a claimed checksum.
+    #: Ingest files whose facts come without a checksum, in spite of a claimed one.
     allow_unhashed: bool = False
 
 

@@ -140,3 +140,10 @@ def test_splitting_does_not_repeat_the_work(spark, tmp_path):
     plan = valid._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.splitlines() if line.lstrip(" :+-*()0123456789").startswith("Filter")]
     assert filters and all("rejection_reason" in f and "cast(" not in f.lower() for f in filters)
+
+
+def test_additive_names_like_run_context_are_refused():
+    contract = Contract.define("people", mandatory="id BIGINT")
+    for name in ("_dt_x", "_Raw_more", "dq_status_old", "_pipeline_step"):
+        assert diff_columns(["id", name], contract).blocking_reason == f"AMBIGUOUS_COLUMNS:{name}"
+    assert diff_columns(["id", "dt_x", "raw_more"], contract).blocking_reason is None

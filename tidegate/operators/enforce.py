@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.contract import CORRUPT_COLUMN, Contract
 from tidegate.functions.casts import is_text, to_contract_type
+from tidegate.functions.hashing import HASH_EXCLUDED_PREFIXES
 from tidegate.functions.text import blank_to_null, cleanser
 from tidegate.operators.settle import settle
 
@@ -48,8 +49,8 @@ class ColumnDiff:
 
 def diff_columns(incoming: Iterable[str], contract: Contract) -> ColumnDiff:
     """Compare delivered column names with the contract.  Names match exactly; a name that
-    differs from a contract column only by case, or that a zone uses itself, would be ambiguous
-    downstream."""
+    differs from a contract column only by case, that a zone uses itself, or that looks like run
+    context and so would be left out of hashes and schema comparisons, would be ambiguous downstream."""
     given = {c for c in incoming if c not in CARRIED}
     declared = set(contract.names)
     folded = {n.lower() for n in declared}
@@ -58,7 +59,9 @@ def diff_columns(incoming: Iterable[str], contract: Contract) -> ColumnDiff:
         additive=sorted(additive),
         missing_mandatory=sorted(c.name for c in contract.mandatory if c.name not in given),
         missing_optional=sorted(c.name for c in contract.optional if c.name not in given),
-        ambiguous=sorted(c for c in additive if c.lower() in folded | RESERVED),
+        ambiguous=sorted(
+            c for c in additive if c.lower() in folded | RESERVED or c.lower().startswith(HASH_EXCLUDED_PREFIXES)
+        ),
     )
 
 

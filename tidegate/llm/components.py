@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.shared import written
+from tidegate.llm.shared import join_hot, written
 
 
 def _sign(edges: DataFrame) -> tuple:
@@ -18,16 +18,17 @@ def components(edges: DataFrame) -> DataFrame:
     The root is the smallest node of the component, itself included.  Each round hangs all larger
     neighbours of a node on its smallest one, then all smaller ones; it ends when nothing changes,
     after about log2 of the longest path rounds.  Every round is a written table; only a count and a
-    checksum reach the driver.  No edges, no rows.
+    checksum reach the driver.  The edges of a hub, however many, may be split over tasks where they
+    meet its smallest neighbour.  No edges, no rows.
     """
     now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     sign = _sign(now)
     while sign[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = join_hot(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_hot(large, least, ["u"]).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         before, sign = sign, _sign(now)
         if sign == before:

@@ -9,18 +9,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.shared import map_texts, written
+from tidegate.llm.shared import explode_batches, map_texts, written
 
 WINDOW = 10
-#: UTF-8 bytes of window text in one automaton.  A larger benchmark is scanned in several passes.
+#: Bytes of windows and ids in one automaton, about.  A larger benchmark is scanned in several passes.
 AUTOMATON_BYTES = 8_000_000
 
+_RANGES = "array<struct<start: int, end: int>>"
+
 #: A-Z to lower case, other ASCII characters that belong to no word to spaces.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -68,26 +72,23 @@ def scanner(windows: list[tuple[bytes, list]]) -> Callable[[list[bytes]], tuple[
     return scan
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, limit: int) -> list[list[tuple[bytes, list]]]:
-    """Distinct windows with the ids of their items, in blocks of bounded size.
+def window_table(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``key`` and ``ids``: each distinct window once, with the ids (as strings, sorted) of its items.
 
-    A benchmark is a set of test questions, far smaller than a corpus; it is streamed item by item
-    through the driver, which holds its distinct windows only.
+    Spark cuts the items and groups equal windows.  Items without words have none; a NULL id is not listed.
     """
-    ids: dict[bytes, set] = {}
-    rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t"))
-    for row in rows.toLocalIterator():
-        for key in item_windows(words_of(row.t), window):
-            ids.setdefault(key, set()).update([] if row.i is None else [row.i])
-    blocks: list[list[tuple[bytes, list]]] = [[]]
-    size = 0
-    for key, found in ids.items():
-        if size + len(key) > limit and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((key, sorted(found)))
-        size += len(key)
-    return blocks
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t"))
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            cut = [(i, k) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k in item_windows(words_of(t), window)]
+            ids, keys = zip(*cut, strict=True) if cut else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(keys, pa.binary())], names=["i", "key"])
+
+        return each
+
+    found = explode_batches(items, start, "i string, key binary")
+    return found.groupBy("key").agg(F.array_sort(F.collect_set("i")).alias("ids"))
 
 
 def find_items(
@@ -104,46 +105,58 @@ def find_items(
     original text) and ``items`` (ids as strings, sorted).
 
     A NULL text has no words, no hits.  Items without words never occur; of items without an id the
-    hits count, though no id can be listed; items that share a window are all listed.  A benchmark
-    beyond ``automaton_bytes`` is scanned in several passes over written tables: same result,
-    bounded memory.
+    hits count, though no id can be listed; items that share a window are all listed.  Other columns of
+    either table take no part, whatever their names.  Windows are a written table, dealt by hash into
+    blocks of about ``automaton_bytes``; the driver and a task hold one block at a time.  One block is one
+    scan; with several, each scan writes what it hit under the number of the row, and the parts are
+    united at the end: same result.
     """
-    blocks = _blocks(benchmark, item_id, item_text, window, automaton_bytes)
-    ranges = "array<struct<start: int, end: int>>"
-
-    def first(block: list[tuple[bytes, list]]) -> Callable[[], Callable]:
-        def start() -> Callable:
-            scan = scanner(block)
-
-            def each(value: str | None) -> tuple:
-                words = words_of(value)
-                hits, items = scan(words)
-                spans = []
-                if hits:
-                    raw = value.encode("utf-8", "surrogatepass")
-                    at = [m.span() for m in WORD.finditer(raw)]
-                    points = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-                    spans = [(int(points[at[s][0]]) - 1, int(points[at[e - 1][1] - 1])) for s, e in hits]
-                return len(words), [{"start": s, "end": e} for s, e in hits], [{"start": s, "end": e} for s, e in spans], sorted(items)
-
-            return each
-
-        return start
-
-    schema = f"n_words long, hits {ranges}, spans {ranges}, items array<string>"
-    out = map_texts(docs, list(keep or docs.columns), text, first(blocks[0]), schema)
-    for block in blocks[1:]:
-        again = written(out, "decontaminate")
-        if text not in (keep or docs.columns):
-            raise ValueError("keep the text column when the benchmark needs several passes")
-        both = map_texts(again.withColumn("text", F.col(f"row.`{text}`")), again.columns, "text", first(block), schema)
-        out = both.select(
-            F.col("row.row").alias("row"),
-            "n_words",
-            *[_union(F.concat(F.col(f"row.{c}"), F.col(c))).alias(c) for c in ("hits", "spans")],
-            F.array_sort(F.array_union("row.items", "items")).alias("items"),
-        )
-    return out
+    windows = written(window_table(benchmark, item_id, item_text, window), "windows")
+    size = windows.agg(F.sum(F.length("key") + F.length(F.array_join("ids", " ")))).first()[0] or 0
+    n = max(1, -(-size // automaton_bytes))
+    block = F.pmod(F.xxhash64("key"), F.lit(n))
+    names = list(keep or docs.columns)
+
+    def pass_over(df: DataFrame, columns: list[str], text: str, number: int) -> DataFrame:
+        part = windows.where(block == number).toArrow()
+        found = list(zip(part["key"].to_pylist(), part["ids"].to_pylist(), strict=True))
+        return map_texts(df, columns, text, _starter(found), f"n_words long, hits {_RANGES}, spans {_RANGES}, items array<string>")
+
+    if n == 1:
+        return pass_over(docs, names, text, 0)
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    rows = written(docs.select(row, F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("n")), "decontaminate")
+    parts = []
+    for number in range(n):
+        # The first pass counts the words of all rows, the others keep what they hit.
+        made = pass_over(rows, ["n"], "text", number).select("row.n", "n_words", "hits", "spans", "items")
+        parts.append(written(made if number == 0 else made.where(F.size("hits") > 0), "hits"))
+    together = reduce(DataFrame.unionByName, parts).groupBy("n").agg(
+        F.max("n_words").alias("n_words"),
+        *[_union(F.flatten(F.collect_list(c))).alias(c) for c in ("hits", "spans")],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return rows.join(together, "n").select("row", "n_words", "hits", "spans", "items")
+
+
+def _starter(found: list[tuple[bytes, list]]) -> Callable[[], Callable]:
+    def start() -> Callable:
+        scan = scanner(found)
+
+        def each(value: str | None) -> tuple:
+            words = words_of(value)
+            hits, items = scan(words)
+            spans = []
+            if hits:
+                raw = value.encode("utf-8", "surrogatepass")
+                at = [m.span() for m in WORD.finditer(raw)]
+                points = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+                spans = [(int(points[at[s][0]]) - 1, int(points[at[e - 1][1] - 1])) for s, e in hits]
+            return len(words), [{"start": s, "end": e} for s, e in hits], [{"start": s, "end": e} for s, e in spans], sorted(items)
+
+        return each
+
+    return start
 
 
 def _union(ranges):

@@ -1,13 +1,19 @@
 from __future__ import annotations
 
+from pathlib import Path
+
+import duckdb
 import numpy as np
 import pytest
+from comparison import connect, difference
 from pyspark.sql import functions as F
 
 from tidegate.functions.scoring import decision, logistic, risk_score, risk_tier
 from tidegate.operators.drivers import correlation_matrix, label_correlations, narrate, risk_drivers
 from tidegate.operators.model import fit, incomplete_rows, prediction_quality, with_split
 from tidegate.operators.risk import default_rate, loan_features, preview, repayment_features, value_counts
+from tidegate.plans.oracles import all_oracles
+from tidegate.plans.queries import all_queries
 from tidegate.plans.risk import assess
 from tidegate.sources.loans import read_borrowers, read_loans, read_repayments
 
@@ -220,3 +226,31 @@ def test_loan_files(spark, tmp_path):
     assert read_loans(spark, str(tmp_path / "l.csv")).first()[:] == ("L1", "B1", 100.0, 12, 10.5)
     (tmp_path / "b.csv").write_text("borrower_id,income,credit_score\nB1,null,700\n")
     assert read_borrowers(spark, str(tmp_path / "b.csv")).first()[:] == ("B1", None, 700)
+
+
+@pytest.fixture(scope="module")
+def gappy(tmp_path_factory):
+    """The smallest tables, with borrowers who are unknown or have no income."""
+    folder = tmp_path_factory.mktemp("gappy")
+    for table in Path("/root/testdata/sf0.001").glob("*.parquet"):
+        (folder / table.name).symlink_to(table)
+    (folder / "customer.parquet").unlink()
+    rows = "select * replace (case when c_custkey % 9 = 2 then 0 else c_acctbal end as c_acctbal)"
+    duckdb.sql(
+        f"copy ({rows} from '/root/testdata/sf0.001/customer.parquet' where c_custkey % 16 <> 5) to '{folder}/customer.parquet' (format parquet)"
+    )
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["loan_model", "loan_scores", "tier_counts"])
+def test_loans_that_lack_a_feature(spark, gappy, name):
+    assert difference(all_queries()[name](spark, gappy), all_oracles()[name], connect(gappy)) is None
+
+
+def test_rows_that_lack_a_feature_are_kept(spark):
+    _, _, df = _toy(spark)
+    gaps = df.withColumn("a", F.when(F.col("loan_id") % 4 == 1, float("nan")).when(F.col("loan_id") % 4 != 0, F.col("a")))
+    model = fit(gaps, ["a", "b"], handle_invalid="keep")
+    assert model.coefficients == pytest.approx(fit(gaps, ["a", "b"], handle_invalid="skip").coefficients)
+    scored = model.predict(gaps)
+    assert (scored.count(), scored.where("default_probability is null and prediction is null").count()) == (600, 300)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.hashing import hash_bucket
-from tidegate.functions.scoring import decision, logistic, risk_score, risk_tier
+from tidegate.functions.scoring import LOWEST_TIER, decision, logistic, risk_score, risk_tier
 from tidegate.operators.risk import LABEL, MODEL_FEATURES
 
 SPLIT_SEED = 42
@@ -42,18 +42,23 @@ class LoanModel:
         return dict(zip(self.features, self.weights, strict=True))
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``default_probability`` and ``prediction`` (threshold one half): plain columns."""
+        """Add ``default_probability`` and ``prediction`` (threshold one half): plain columns, NULL where
+        a row is kept that lacks a feature."""
         given = _given(df, self.features, self.handle_invalid)
-        scored = given.withColumn("default_probability", logistic(self.coefficients, self.intercept))
+        probability = F.nanvl(logistic(self.coefficients, self.intercept), F.lit(None).cast("double"))
+        scored = given.withColumn("default_probability", probability)
         return scored.withColumn("prediction", (F.col("default_probability") > 0.5).cast("double"))
 
 
 def _given(df: DataFrame, features: Sequence[str], handle_invalid: str) -> DataFrame:
-    """Rows whose features are all there: others are left out (``skip``) or fail the job (``error``)."""
+    """Rows whose features are all there: others are left out (``skip``), stay (``keep``) or fail the
+    job (``error``)."""
+    if handle_invalid == "keep":
+        return df
     if handle_invalid == "skip":
         return df.dropna(subset=list(features))
     if handle_invalid != "error":
-        raise ValueError(f"handle_invalid is 'error' or 'skip', not {handle_invalid!r}")
+        raise ValueError(f"handle_invalid is 'error', 'skip' or 'keep', not {handle_invalid!r}")
     lacking = F.lit(None).cast("string")
     for f in features:
         value = F.col(f).cast("double")
@@ -135,8 +140,11 @@ def fit(
     loss is strictly convex in the coefficients, so the result does not depend on the way.  The rows
     are read once per pass, about ten times: pass a written table when they are expensive to
     compute.  Nothing is kept on executors.
+
+    Rows that lack a feature fail the fit (``error``) or take no part in it (``skip``, ``keep``); the
+    model treats the rows it predicts in the same way, but that ``keep`` keeps them, without a probability.
     """
-    rows = _given(train, features, handle_invalid)
+    rows = _given(train, features, "skip" if handle_invalid == "keep" else handle_invalid)
     here = _point(rows, features, label, np.zeros(len(features) + 1))
     for _ in range(max_iter):
         step, gain = here.step()
@@ -165,10 +173,14 @@ def prediction_quality(predicted: DataFrame, label: str = LABEL) -> tuple[float,
     return float(accuracy), float(area)
 
 
-def with_decision(df: DataFrame) -> DataFrame:
-    """Score, tier and decision from ``default_probability``."""
+def with_decision(df: DataFrame, reject_unscored: bool = False) -> DataFrame:
+    """Score, tier and decision from ``default_probability``.  A row without one has no tier and no
+    decision, or with ``reject_unscored`` the lowest."""
+    tier = risk_tier(F.col("risk_score"))
+    if reject_unscored:
+        tier = F.coalesce(tier, F.lit(LOWEST_TIER[0]))
     return (
         df.withColumn("risk_score", risk_score(F.col("default_probability")))
-        .withColumn("risk_tier", risk_tier(F.col("risk_score")))
+        .withColumn("risk_tier", tier)
         .withColumn("decision", decision(F.col("risk_tier")))
     )

@@ -626,8 +626,8 @@ def loan_model(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "loan-features")
     with_split(_features(spark, sf)).write.parquet(folder)
     marked = spark.read.parquet(folder)
-    model = fit(marked.where(F.col("split") == "train"))
-    decided = with_decision(model.predict(marked))
+    model = fit(marked.where(F.col("split") == "train"), handle_invalid="keep")
+    decided = with_decision(model.predict(marked), reject_unscored=True)
     probability = F.round("default_probability", 8).alias("default_probability")
     return decided.select("loan_id", probability, "prediction", "risk_score", "risk_tier", "decision")
 

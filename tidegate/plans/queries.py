@@ -650,7 +650,7 @@ def loan_fit(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "loan-features")
     with_split(_features(spark, sf)).where(F.col("split") == "train").write.parquet(folder)
     train = spark.read.parquet(folder)
-    model = fit(train)
+    model = fit(train, handle_invalid="keep")
     weights = {"intercept": 0.0, **model.coefficients}
     predicted = model.predict(train).withColumn("intercept", F.lit(1.0))
     error = F.col("default_probability") - F.col("default_flag")

@@ -21,6 +21,8 @@ TEST_BUCKETS = 2
 TOLERANCE = 1e-11
 #: A step is halved at most so often before the fit gives up.
 HALVINGS = 30
+#: Above any probability: where rows without one rank.
+_UNKNOWN_RANK = 2.0
 
 
 def with_split(df: DataFrame, key: str = "loan_id", seed: int = SPLIT_SEED) -> DataFrame:
@@ -163,13 +165,16 @@ def fit(
 
 
 def prediction_quality(predicted: DataFrame, label: str = LABEL) -> tuple[float, float]:
-    """(accuracy, area under the ROC curve with ties counted half)."""
-    accuracy = predicted.agg(
-        F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("a")
-    ).first()["a"]
+    """(accuracy, area under the ROC curve with ties counted half).
+
+    A row without a probability is not predicted rightly, and ranks above all others as the worst risk.
+    """
+    right = F.coalesce(F.col("prediction") == F.col(label), F.lit(False))
+    accuracy = predicted.agg(F.avg(right.cast("double")).alias("a")).first()["a"]
+    ranked = F.coalesce(F.col("default_probability"), F.lit(_UNKNOWN_RANK))
     area = BinaryClassificationEvaluator(
         rawPredictionCol="default_probability", labelCol=label, metricName="areaUnderROC", numBins=0
-    ).evaluate(predicted)
+    ).evaluate(predicted.withColumn("default_probability", ranked))
     return float(accuracy), float(area)
 
 

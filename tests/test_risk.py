@@ -242,7 +242,7 @@ def gappy(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["loan_fit", "loan_model", "score_quality", "loan_scores", "tier_counts"])
+@pytest.mark.parametrize("name", ["loan_assessment", "loan_fit", "loan_model", "score_quality", "loan_scores", "tier_counts"])
 def test_loans_that_lack_a_feature(spark, gappy, name):
     assert difference(all_queries()[name](spark, gappy), all_oracles()[name], connect(gappy)) is None
 

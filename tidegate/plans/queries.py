@@ -637,7 +637,7 @@ def loan_assessment(spark: SparkSession, sf: str) -> DataFrame:
     """The loan job as a whole: quality on the test rows, and the rows per decision."""
     folder = new_folder(spark, "loan-features")
     _features(spark, sf).write.parquet(folder)
-    made = assess(spark.read.parquet(folder))
+    made = assess(spark.read.parquet(folder), handle_invalid="keep")
     counts = made.scored.groupBy("decision").agg(F.count("*").alias("rows"))
     quality_of = [F.lit(round(made.accuracy, 9)).alias("accuracy"), F.lit(round(made.area_under_roc, 6)).alias("area_under_roc")]
     return counts.select("decision", "rows", *quality_of)

@@ -106,6 +106,15 @@ def test_generated_rows_depend_on_the_id_only(spark):
     assert sorted(map(str, a.collect())) != sorted(map(str, other.collect()))
 
 
+def test_generation_is_spread_and_makes_only_what_is_asked_for(spark):
+    people = employees(spark.range(0, 5_000, 1, 1), "2024-01-15 08:00:00")
+    assert people.select(F.spark_partition_id()).distinct().count() > 1
+    rows = people.select("id", "employee_id")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert sorted(rows.collect()) == sorted(r[:2] for r in people.select("id", "employee_id", "ssn").collect())
+
+
 def test_generated_shares_and_contracts(spark):
     people = employees(spark.range(20_000), "2024-01-15 08:00:00").persist()
     assert people.columns == ["id", *EMPLOYEE_MASTER.names]

@@ -21,7 +21,6 @@ from tidegate.catalog import (
     PAYMENT_MODES,
     PAYMENT_STATUSES,
 )
-from tidegate.operators.settle import settle
 
 # What the generated columns are drawn from.
 FIRST_NAMES = [
@@ -84,10 +83,11 @@ def _letter(name: str, part: int) -> Column:
 def dirty(value: Column, name: str, blank: float = BLANK_SHARE, dirt: float = DIRT_SHARE) -> Column:
     """``value``, or with the given shares a blank or a token that stands for no value."""
     u = _draw(name, 0)
+    # The likeliest case first: most rows draw once.
     return (
-        F.when(u < int(blank * _RANGE), "")
-        .when(u < int((blank + dirt) * _RANGE), _pick(name, 1, DIRT_TOKENS))
-        .otherwise(value)
+        F.when(u >= int((blank + dirt) * _RANGE), value)
+        .when(u < int(blank * _RANGE), "")
+        .otherwise(_pick(name, 1, DIRT_TOKENS))
     )
 
 
@@ -95,12 +95,13 @@ def _digests(ids: DataFrame, names: Sequence[str], seed: int, *keep: str) -> Dat
     return ids.select("id", *keep, *[_digest(n, seed).alias(f"_d_{n}") for n in names])
 
 
-def _in_steps(df: DataFrame, values: dict[str, Column], width: int = 5) -> DataFrame:
-    """Add the columns a few at a time, so that no generated method grows too long to compile."""
-    names = list(values)
-    for start in range(0, len(names), width):
-        df = settle(df, {n: values[n] for n in names[start : start + width]})
-    return df
+def _spread(ids: DataFrame) -> DataFrame:
+    """The ids dealt over all tasks: a row is a few bytes when read, but costs dozens of digests to
+    generate, so what fits one scan task is far too much for one.  In order, so that a task that is run
+    again sees the same rows in the same places."""
+    spark = ids.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return ids.repartition(tasks, "id").sortWithinPartitions("id")
 
 
 def employees(ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -172,7 +173,8 @@ def employees(ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> Da
         "created_ts": F.lit(generated_at),
     }
     drawn = [n for n in names if n != "created_ts"]
-    return _in_steps(_digests(ids, drawn, seed), values).select("id", *names)
+    # Plain columns: those that nobody asks for are not generated.
+    return _digests(_spread(ids.select("id")), drawn, seed).select("id", *[values[n].alias(n) for n in names])
 
 
 def payroll(employee_ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -244,4 +246,5 @@ def payroll(employee_ids: DataFrame, generated_at: str, seed: int = DEFAULT_SEED
         "payment_status": dirty(_pick("payment_status", 2, PAYMENT_STATUSES), "payment_status"),
         "created_ts": F.lit(generated_at),
     }
-    return _in_steps(cents.withColumnRenamed("employee_id", "_employee_id"), values).select("id", *PAYROLL_COLUMNS)
+    paid = cents.withColumnRenamed("employee_id", "_employee_id")
+    return paid.select("id", *[values[c].alias(c) for c in PAYROLL_COLUMNS])

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 from tidegate.catalog import EMPLOYEE_MASTER, PAYROLL_TRANSACTIONS
 from tidegate.contract import Contract
 from tidegate.functions import checks as C
+from tidegate.plans import ingest
 from tidegate.plans.ingest import Options, annotate, ingest_files
 from tidegate.plans.workspace import new_folder
 from tidegate.sinks.zones import Zones
 from tidegate.sources.synthetic import PAYROLL_COLUMNS, employees, payroll
 from tidegate.sources.zones import read_partition
+from tidegate.streaming import landing
 from tidegate.streaming.landing import start_ingest
 
 DAY = "2024-01-15"
@@ -74,6 +76,22 @@ def test_unique_keys_hold_across_batches_and_runs(spark, tmp_path):
     assert [x[1:] for x in found("2024-01-16")] == [(1, False), (5, False), (6, False)]
 
 
+def test_a_batch_with_unique_keys_is_judged_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,department,score\n1,HR,1\n1,HR,1\n")
+    kept = []
+
+    def write(annotated, *rest):
+        kept.append(annotated.storageLevel.useMemory)
+        return ingest.write_outcomes(annotated, *rest)
+
+    monkeypatch.setattr(landing, "write_outcomes", write)
+    zones = Zones(str(tmp_path / "z"), "people")
+    options = Options(unique_keys=["id"])
+    landing.start_ingest(spark, str(tmp_path / "in"), CONTRACT, zones, DAY, str(tmp_path / "check"), None, options).awaitTermination()
+    assert kept == [True]
+
+
 def test_a_replayed_batch_gives_the_same(spark, tmp_path):
     landing, zones = tmp_path / "landing", Zones(str(tmp_path / "z"), "people")
     landing.mkdir()

@@ -102,15 +102,15 @@ def start_ingest(
         if first_seen is not None and delivered.isEmpty():
             return  # a batch that only clears the state
         annotated, errors, refused = annotate_batch([delivered], contract, zones, run_date, checks, options, first_seen)
-        keep = options.keep and not keys
-        if keep:
+        if options.keep:
+            # The joins that flag repeated keys run once, not once for each zone.
             annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
         part = f"{run_date}/batch={batch_id}"
         result = RunResult(contract.name, run_date, f"batch-{batch_id}", errors=errors)
         try:
             counts = write_outcomes(annotated, zones, result, options, part)
         finally:
-            if keep:
+            if options.keep:
                 annotated.unpersist()
         result.close(counts, refused)
         write_records(audit_row(batch.sparkSession, result), zones.audit, part)

@@ -164,18 +164,25 @@ def fit(
     raise ArithmeticError(f"not at the optimum after {max_iter} steps")
 
 
-def prediction_quality(predicted: DataFrame, label: str = LABEL) -> tuple[float, float]:
+def prediction_quality(predicted: DataFrame, label: str = LABEL) -> tuple[float | None, float | None]:
     """(accuracy, area under the ROC curve with ties counted half).
 
     A row without a probability is not predicted rightly, and ranks above all others as the worst risk.
+    Undefined values are those of SQL: both None without rows, the area None where no label is 1 and NaN
+    where none is 0.  The rows are read several times: pass a written table when they are expensive to compute.
     """
     right = F.coalesce(F.col("prediction") == F.col(label), F.lit(False))
-    accuracy = predicted.agg(F.avg(right.cast("double")).alias("a")).first()["a"]
+    labels = [F.count_if(F.col(label) == y).alias(f"n{y}") for y in (0, 1)]
+    accuracy, negative, positive = predicted.agg(F.avg(right.cast("double")).alias("a"), *labels).first()
+    if not positive:
+        return accuracy, None
+    if not negative:
+        return accuracy, float("nan")
     ranked = F.coalesce(F.col("default_probability"), F.lit(_UNKNOWN_RANK))
     area = BinaryClassificationEvaluator(
         rawPredictionCol="default_probability", labelCol=label, metricName="areaUnderROC", numBins=0
     ).evaluate(predicted.withColumn("default_probability", ranked))
-    return float(accuracy), float(area)
+    return accuracy, float(area)
 
 
 def with_decision(df: DataFrame, reject_unscored: bool = False) -> DataFrame:

@@ -15,8 +15,8 @@ from tidegate.operators.risk import MODEL_FEATURES
 @dataclass(frozen=True)
 class Assessment:
     model: LoanModel
-    accuracy: float
-    area_under_roc: float
+    accuracy: float | None
+    area_under_roc: float | None
     scored: DataFrame
 
 
